@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from ledgerline import schemas
 from ledgerline.functions import columns as C
@@ -17,8 +18,12 @@ def require(df: DataFrame, stream: EventStream) -> DataFrame:
 
 def _project(df: DataFrame, stream: EventStream, derived: dict) -> DataFrame:
     """The silver columns in order: a derivation where there is one, else the column as it came."""
-    dated = {"timestamp": C.event_time(F.col("timestamp")), "dt": C.event_date(F.col("timestamp")), **derived}
-    return df.select(*[dated.get(name, F.col(name)).alias(name) for name in stream.silver.names])
+    time = F.col("timestamp")
+    if not isinstance(df.schema["timestamp"].dataType, TimestampType):
+        # Not applied to a typed column, which has to stay the very column the watermark was set on.
+        time = C.event_time(time)
+    dated = {"timestamp": time, "dt": F.to_date(time), **derived}
+    return df.select(*[dated[name].alias(name) if name in dated else F.col(name) for name in stream.silver.names])
 
 
 def _coordinates() -> dict:

@@ -63,9 +63,12 @@ def replace_table(df: DataFrame, table: str, partition_by: str | None = None) ->
 # --- Partitioned folders ------------------------------------------------------------------------------
 
 
-def append(df: DataFrame, path: str, partition: str = "dt") -> None:
+def append(df: DataFrame, path: str, partition: str | None = "dt") -> None:
     """Map-only append: no shuffle, so no hot partition either."""
-    df.write.mode("append").partitionBy(partition).parquet(path)
+    writer = df.write.mode("append")
+    if partition:
+        writer = writer.partitionBy(partition)
+    writer.parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition: str = "dt") -> None:

@@ -1,6 +1,6 @@
 """Every operator as a named query over the benchmark tables."""
 
-from ledgerline.plans import rows
+from ledgerline.plans import gold, rows, streams, tables
 from ledgerline.plans.registry import QUERIES
 
-__all__ = ["QUERIES", "rows"]
+__all__ = ["QUERIES", "gold", "rows", "streams", "tables"]

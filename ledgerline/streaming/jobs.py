@@ -60,11 +60,15 @@ def run_bronze(
     path: str,
     checkpoint: str,
     trigger: Trigger = AS_FAST_AS_POSSIBLE,
+    partition: str | None = "dt",
     name: str | None = None,
 ) -> StreamingQuery:
     """One topic of the message log into its bronze table: parse, type the event time, append. No shuffle and no
-    Python callback in the path."""
-    return to_files(to_bronze(envelope, stream), path, checkpoint, trigger, "dt", name)
+    Python callback in the path.
+
+    A task writes one file per date it meets. A replay of many years is better landed with ``partition=None``.
+    """
+    return to_files(to_bronze(envelope, stream), path, checkpoint, trigger, partition, name)
 
 
 def run_dead_letters(
@@ -184,7 +188,7 @@ def run_scoring(
     model: PipelineModel, silver: DataFrame, path: str, checkpoint: str, trigger: Trigger = AS_FAST_AS_POSSIBLE
 ) -> StreamingQuery:
     """Fraud scores for transactions as they arrive."""
-    return to_files(scoring.score(model, silver), path, checkpoint, trigger)
+    return to_files(scoring.score(model, silver), path, checkpoint, trigger, None)
 
 
 def wait_for_all(spark: SparkSession) -> None:
