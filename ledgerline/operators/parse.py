@@ -28,9 +28,13 @@ def _payloads(envelope: DataFrame, stream: EventStream) -> DataFrame:
 
 
 def parse_topic(envelope: DataFrame, stream: EventStream) -> DataFrame:
-    """Wire columns of one topic. Malformed JSON becomes a row of NULLs, a badly typed field a NULL."""
+    """Wire columns of one topic. Malformed JSON becomes a row of NULLs, a badly typed field a NULL.
+
+    The struct is flattened by ``inline`` rather than by ``data.*``: filters on single fields then stay above it,
+    where a projection would let them be pushed below and parse the payload again for each.
+    """
     parsed = F.from_json("payload", stream.wire, {"mode": "PERMISSIVE"})
-    return _payloads(envelope, stream).select(parsed.alias("data")).select("data.*")
+    return _payloads(envelope, stream).select(F.inline(F.array(parsed)))
 
 
 def dead_letters(envelope: DataFrame, stream: EventStream) -> DataFrame:

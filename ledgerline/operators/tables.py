@@ -119,10 +119,11 @@ class UpsertResult:
     matched: bool
 
 
-def check_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> None:
-    """Raises if the table at ``path`` has other columns than the ones to be written."""
-    if files.has_data(spark, path):
-        existing = set(spark.read.parquet(path).columns)
+def check_columns(spark: SparkSession, path: str, columns: Sequence[str], partition: str) -> None:
+    """Raises if the table at ``path`` has other columns than the ones to be written. Opens one partition only."""
+    folders = files.partition_values(spark, path, partition)
+    if folders:
+        existing = set(spark.read.parquet(next(iter(folders.values()))).columns) | {partition}
         if existing != set(columns):
             raise ValueError(f"columns differ from the table's: {sorted(existing ^ set(columns))}")
 
@@ -134,6 +135,7 @@ def upsert(
     partition: str = "dt",
     rows_per_file: int = ROWS_PER_FILE,
     check: bool = True,
+    session: SparkSession | None = None,
 ) -> UpsertResult:
     """Rows of ``batch`` replace the table's rows with equal keys; the others are added.
 
@@ -142,11 +144,14 @@ def upsert(
 
     Only key columns of the touched partitions are read to look for matches. Without any - the normal case for
     fresh events - the batch is appended and nothing is rewritten; otherwise just the partitions with a match are.
+
+    ``session`` plans the joins with the table. A micro-batch comes with a session that has adaptive execution
+    switched off, so a stream passes the one it was started from.
     """
-    spark = batch.sparkSession
+    spark = session or batch.sparkSession
     keys = list(keys)
     if check:
-        check_columns(spark, path, batch.columns)
+        check_columns(spark, path, batch.columns, partition)
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         touched, counts = Partitions.of(batch, partition)
@@ -188,9 +193,10 @@ def insert_new(
     keys: Sequence[str],
     partition: str = "dt",
     rows_per_file: int = ROWS_PER_FILE,
+    session: SparkSession | None = None,
 ) -> None:
     """Adds the rows of ``batch`` whose keys the table does not hold yet: the first write of a key wins."""
-    spark = batch.sparkSession
+    spark = session or batch.sparkSession
     keys = list(keys)
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -200,7 +206,9 @@ def insert_new(
         fresh = batch
         if not touched.empty and files.has_data(spark, path):
             target = spark.read.schema(batch.schema).parquet(path)
-            fresh = batch.join(touched.inside(target.select(*keys)), keys, "left_anti")
+            # The batch is on the side that can be broadcast; what comes out is no larger than the batch.
+            held = touched.inside(target.select(*keys)).join(batch.select(*keys), keys, "left_semi")
+            fresh = batch.join(held, keys, "left_anti")
         append(spread(fresh, partition, keys, counts, rows_per_file), path, partition)
     finally:
         batch.unpersist()

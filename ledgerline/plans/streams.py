@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.operators import scoring
+from ledgerline.operators.enrich import enrich_stream
 from ledgerline.operators.parse import to_bronze, with_event_date
 from ledgerline.operators.tables import append
 from ledgerline.plans import fixtures, sql
@@ -258,6 +259,21 @@ def alerts_suspicious(spark, sf_dir):
     return spark.read.schema(schema).parquet(path)
 
 
+@query(
+    "stream_enrich_customer",
+    f"SELECT event_id, user_id, CAST(dt AS VARCHAR) AS dt, c_mktsegment, c_nationkey FROM ({sql.silver(AUTH_LOGS)}) "
+    "LEFT JOIN customer ON user_id = c_custkey",
+)
+def stream_enrich_customer(spark, sf_dir):
+    session, path = streaming_session(spark), fresh_dir(spark, "enriched")
+    silver = table_appends(session, AUTH_LOGS.silver, _silver_table(spark, sf_dir, AUTH_LOGS))
+    master = fixtures.table(session, sf_dir, "customer")
+    events = silver.select("event_id", "user_id", "dt")
+    rows = enrich_stream(events, master, ("user_id", "c_custkey"), ["c_mktsegment", "c_nationkey"], "event_id")
+    _drain(jobs.to_files, rows, path, fresh_dir(spark, "checkpoint"), partition=None)
+    return spark.read.parquet(path)
+
+
 @query(
     "bi_hourly_merchant",
     f"WITH s AS ({sql.silver(TRANSACTIONS)}) SELECT date_trunc('hour', \"timestamp\") AS hour, merchant, count(*) AS n, "

@@ -92,16 +92,19 @@ def silver_rows(
     return dedup.stream_one_per_key(cleaned, stream.keys, salts)
 
 
-def _upsert_batch(stream: EventStream, path: str, undated_path: str | None) -> Callable[[DataFrame, int], None]:
+def _upsert_batch(
+    session: SparkSession, stream: EventStream, path: str, undated_path: str | None
+) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         if undated_path is None:
-            upsert(batch, path, stream.keys, check=batch_id == 0)
+            upsert(batch, path, stream.keys, check=batch_id == 0, session=session)
             return
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             undated = batch.filter(F.col("dt").isNull()).drop("dt").withColumn("batch_id", F.lit(batch_id))
             overwrite_partitions(undated, undated_path, "batch_id")
-            upsert(batch.filter(F.col("dt").isNotNull()), path, stream.keys, check=batch_id == 0)
+            dated = batch.filter(F.col("dt").isNotNull())
+            upsert(dated, path, stream.keys, check=batch_id == 0, session=session)
         finally:
             batch.unpersist()
 
@@ -129,7 +132,7 @@ def run_silver(
     repeated micro-batch replaces its own rows (use one such folder per checkpoint).
     """
     rows = silver_rows(bronze, stream, watermark, bounded, salts)
-    writer = rows.writeStream.foreachBatch(_upsert_batch(stream, path, undated_path))
+    writer = rows.writeStream.foreachBatch(_upsert_batch(bronze.sparkSession, stream, path, undated_path))
     return _start(writer, name, checkpoint, trigger)
 
 
@@ -145,7 +148,7 @@ def run_silver_stateless(
     not hold yet are added. Late rows are kept, and copies of one key are reduced before the shuffle."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        insert_new(dedup.one_per_key(batch, stream.keys), path, stream.keys)
+        insert_new(dedup.one_per_key(batch, stream.keys), path, stream.keys, session=bronze.sparkSession)
 
     return _start(clean(bronze, stream).writeStream.foreachBatch(write), name, checkpoint, trigger)
 
