@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ledgerline import schemas
 from ledgerline.operators.dedup import one_per_key
 from ledgerline.operators.layout import MAX_LISTED, ROWS_PER_FILE, rows_per_value, spread
+from ledgerline.session import shared_root
 from ledgerline.sources import files
 
 # --- Catalog tables -----------------------------------------------------------------------------------
@@ -94,7 +95,9 @@ class Partitions:
         """The values that occur in ``df`` and the rows of each (no counts if there are too many values)."""
         counts = rows_per_value(df, column)
         if counts is None:
-            return cls(column, None, df.select(column).dropna().distinct()), None
+            # Checkpointed, because the files it was read from may be replaced before it is used for the last time.
+            shared_root(df.sparkSession)
+            return cls(column, None, df.select(column).dropna().distinct().checkpoint()), None
         return cls(column, [v for v in counts if v is not None]), counts
 
     @property

@@ -7,7 +7,7 @@ values outside the vocabularies.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.schemas import AUTH_LOGS, STREAMS, SYSTEM_LOGS, TRANSACTIONS, EventStream
@@ -126,10 +126,16 @@ def two_batches(spark: SparkSession, sf_dir: str, stream: EventStream) -> tuple[
     return rows.filter(first), later.unionByName(changed_copies(rows, stream))
 
 
+def _messages(rows: DataFrame, stream: EventStream, text: Column) -> DataFrame:
+    """Messages of one topic. ``inline`` keeps what reads them from evaluating ``text`` once per use, as a stored
+    message would be written only once."""
+    value = F.inline(F.array(F.struct(text.cast("binary").alias("value"))))
+    return rows.select(F.lit(stream.topic).alias("topic"), value)
+
+
 def envelope(rows: DataFrame, stream: EventStream) -> DataFrame:
     """Wire form: one JSON object per message."""
-    value = F.to_json(F.struct(*[F.col(c) for c in stream.wire.names]))
-    return rows.select(F.lit(stream.topic).alias("topic"), value.cast("binary").alias("value"))
+    return _messages(rows, stream, F.to_json(F.struct(*[F.col(c) for c in stream.wire.names])))
 
 
 def all_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,9 +150,7 @@ def faulty_auth_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = proper
     for k, payload in BROKEN_PAYLOADS.items():
         value = F.when(F.col("k") == k, F.expr(payload)).otherwise(value)
-    return source_rows(spark, sf_dir, stream).select(
-        F.lit(stream.topic).alias("topic"), value.cast("binary").alias("value")
-    )
+    return _messages(source_rows(spark, sf_dir, stream), stream, value)
 
 
 # --- The same in SQL ----------------------------------------------------------------------------------
