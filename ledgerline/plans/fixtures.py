@@ -74,9 +74,15 @@ COPIES = {
     SYSTEM_LOGS.topic: ("severity = 'ERROR'", "message", "message || ' again'"),
 }
 
-# Rows of the first of two batches; the second holds all others and the changed copies.
+# Corrections that arrive with the second of two batches, in the same form. For payments they concern recent dates.
+CORRECTIONS = {
+    **COPIES,
+    TRANSACTIONS.topic: ("is_fraud = 1 AND timestamp >= '2000-07-01'", *COPIES[TRANSACTIONS.topic][1:]),
+}
+
+# Rows of the first of two batches; the second holds all others and the corrections.
 FIRST_BATCH = {
-    TRANSACTIONS.topic: "is_fraud IS NOT NULL",
+    TRANSACTIONS.topic: "timestamp < '2001-01-01'",
     AUTH_LOGS.topic: "action IN ('login', 'purchase')",
     SYSTEM_LOGS.topic: "severity IN ('ERROR', 'INFO')",
 }
@@ -109,21 +115,21 @@ def raw(spark: SparkSession, sf_dir: str, stream: EventStream) -> DataFrame:
     return source_rows(spark, sf_dir, stream).selectExpr(*[f"{e} AS `{c}`" for c, e in columns.items()])
 
 
-def changed_copies(rows: DataFrame, stream: EventStream) -> DataFrame:
-    condition, column, value = COPIES[stream.topic]
+def changed_copies(rows: DataFrame, change: tuple[str, str, str]) -> DataFrame:
+    condition, column, value = change
     return rows.filter(condition).withColumn(column, F.expr(value))
 
 
 def raw_with_copies(spark: SparkSession, sf_dir: str, stream: EventStream) -> DataFrame:
     rows = raw(spark, sf_dir, stream)
-    return rows.unionByName(changed_copies(rows, stream))
+    return rows.unionByName(changed_copies(rows, COPIES[stream.topic]))
 
 
 def two_batches(spark: SparkSession, sf_dir: str, stream: EventStream) -> tuple[DataFrame, DataFrame]:
     rows = raw(spark, sf_dir, stream)
     first = FIRST_BATCH[stream.topic]
     later = rows.filter(f"NOT ({first})")
-    return rows.filter(first), later.unionByName(changed_copies(rows, stream))
+    return rows.filter(first), later.unionByName(changed_copies(rows, CORRECTIONS[stream.topic]))
 
 
 def _messages(rows: DataFrame, stream: EventStream, text: Column) -> DataFrame:
@@ -164,15 +170,15 @@ def raw_sql(stream: EventStream) -> str:
     return f"SELECT {body} FROM {source}"
 
 
-def _changed_sql(rows: str, stream: EventStream) -> str:
-    condition, column, value = COPIES[stream.topic]
+def _changed_sql(rows: str, stream: EventStream, change: tuple[str, str, str]) -> str:
+    condition, column, value = change
     body = ", ".join(f'{value} AS "{c}"' if c == column else f'"{c}"' for c in stream.wire.names)
     return f"SELECT {body} FROM ({rows}) WHERE {condition}"
 
 
 def raw_with_copies_sql(stream: EventStream) -> str:
     rows = raw_sql(stream)
-    return f"{rows} UNION ALL {_changed_sql(rows, stream)}"
+    return f"{rows} UNION ALL {_changed_sql(rows, stream, COPIES[stream.topic])}"
 
 
 def two_batches_sql(stream: EventStream) -> tuple[str, str]:
@@ -180,5 +186,6 @@ def two_batches_sql(stream: EventStream) -> tuple[str, str]:
     first = FIRST_BATCH[stream.topic]
     return (
         f"SELECT * FROM ({rows}) WHERE {first}",
-        f"SELECT * FROM ({rows}) WHERE NOT ({first}) UNION ALL {_changed_sql(rows, stream)}",
+        f"SELECT * FROM ({rows}) WHERE NOT ({first}) "
+        f"UNION ALL {_changed_sql(rows, stream, CORRECTIONS[stream.topic])}",
     )
