@@ -29,19 +29,23 @@ def spread(
     """Brings the rows of one partition value together, but never more than about ``rows_per_file`` into one task.
 
     A value with many rows is split over as many tasks as its count asks for, by a hash of the row's key, so a
-    day that holds a third of the table is written by a third of the tasks. Without counts every value is split
-    evenly over the session's shuffle partitions.
+    day that holds a third of the table is written by a third of the tasks. Without counts only the ``MAX_LISTED``
+    largest values are looked up and split; each of the others holds less than one part in ``MAX_LISTED`` of all rows.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     key_hash = F.xxhash64(*keys)
-    if counts is None:
-        parts = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        return df.repartition(parts, column, F.pmod(key_hash, F.lit(parts)))
-    if not counts:
+    if counts == {}:
         return df
-    splits = {value: math.ceil(n / rows_per_file) for value, n in counts.items()}
-    tasks = max(min(cores, len(splits)), math.ceil(sum(counts.values()) / rows_per_file))
+    if counts is None:
+        over = df.groupBy(column).count().filter(F.col("count") > rows_per_file)
+        sized = {r[0]: r[1] for r in over.orderBy(F.desc("count")).limit(MAX_LISTED).collect()}
+        at_least = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    else:
+        sized = counts
+        at_least = min(cores, len(counts))
+    splits = {value: math.ceil(n / rows_per_file) for value, n in sized.items()}
+    tasks = max(at_least, math.ceil(sum(sized.values()) / rows_per_file))
     large = [(value, n) for value, n in splits.items() if n > 1]
     if not large:
         return df.repartition(tasks, column)

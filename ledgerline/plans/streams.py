@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ledgerline.operators import scoring
 from ledgerline.operators.enrich import enrich_stream
 from ledgerline.operators.parse import to_bronze, with_event_date
-from ledgerline.operators.tables import append
+from ledgerline.operators.tables import append, upsert
 from ledgerline.plans import fixtures, sql
 from ledgerline.plans.registry import query
 from ledgerline.plans.rows import silver_frame
@@ -90,9 +92,7 @@ def stream_three_queries(spark, sf_dir):
                 envelope, stream, path, fresh_dir(spark, "checkpoint"), jobs.ALL_AVAILABLE, None, stream.topic
             )
         )
-    jobs.wait_for_all(session)
-    for started in running:
-        started.awaitTermination()
+    jobs.wait_for_all(running)
     counts = [
         spark.read.schema(schema).parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "n")
         for t, (path, schema) in paths.items()
@@ -240,6 +240,18 @@ def replay_all(spark, sf_dir):
     return read(spark, path, stream)
 
 
+@query("replay_range", sql.shown(sql.silver(AUTH_LOGS)))
+def replay_range(spark, sf_dir):
+    """Silver is filled without the events of ten days, which are then replayed from bronze."""
+    stream, path = AUTH_LOGS, fresh_dir(spark, "silver")
+    bronze = _bronze_of(spark, fixtures.raw(spark, sf_dir, stream))
+    first, last = dt.date(2024, 1, 11), dt.date(2024, 1, 20)
+    gap = F.coalesce(F.col("dt").between(first, last), F.lit(False))
+    upsert(silver_frame(spark, sf_dir, stream).filter(~gap), path, stream.keys)
+    jobs.replay_dates(spark, bronze, stream, path, first, last)
+    return read(spark, path, stream)
+
+
 def _silver_table(spark, sf_dir, stream):
     path = fresh_dir(spark, "silver")
     append(silver_frame(spark, sf_dir, stream), path, None)

@@ -6,7 +6,8 @@ Every job takes a checkpoint folder. Sinks are append-only: native parquet files
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import datetime as dt
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -20,7 +21,7 @@ from ledgerline.operators import dedup, scoring
 from ledgerline.operators.clean import clean
 from ledgerline.operators.parse import dead_letters, to_bronze
 from ledgerline.operators.risk import suspicious
-from ledgerline.operators.tables import insert_new, overwrite_partitions, upsert
+from ledgerline.operators.tables import UpsertResult, insert_new, overwrite_partitions, upsert
 from ledgerline.schemas import EventStream
 
 Trigger = Mapping[str, object]
@@ -194,8 +195,17 @@ def run_scoring(
     return to_files(scoring.score(model, silver), path, checkpoint, trigger, None)
 
 
-def wait_for_all(spark: SparkSession) -> None:
-    """Blocks while any query runs and raises as soon as one fails, whichever it is."""
-    while spark.streams.active:
-        spark.streams.awaitAnyTermination()
-        spark.streams.resetTerminated()
+def wait_for_all(queries: Iterable[StreamingQuery]) -> None:
+    """Blocks while any of the queries runs and raises as soon as one has failed, whichever it is."""
+    running = list(queries)
+    while running:
+        running = [q for q in running if not q.awaitTermination(timeout=1)]
+
+
+def replay_dates(
+    spark: SparkSession, bronze_path: str, stream: EventStream, path: str, first: dt.date, last: dt.date
+) -> UpsertResult:
+    """Bronze of a range of event dates once more into silver, as one batch: only those partitions are read, and
+    rows that are there already are replaced by key."""
+    bronze = spark.read.schema(stream.bronze).parquet(bronze_path).filter(F.col("dt").between(first, last))
+    return upsert(dedup.one_per_key(clean(bronze, stream), stream.keys), path, stream.keys)

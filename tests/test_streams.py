@@ -161,13 +161,15 @@ def test_a_failing_query_is_noticed(spark, folder):
     session = S.streaming_session(spark, 4)
     source = table_appends(session, SYSTEM_LOGS.bronze, folder("bronze"))
     broken = source.withColumn("message", F.raise_error(F.lit("boom")).cast("string"))
-    jobs.to_files(source, folder("fine"), folder("ck1"), {"processingTime": "1 second"})
-    jobs.to_files(broken, folder("broken"), folder("ck2"), {"processingTime": "1 second"})
+    queries = [
+        jobs.to_files(source, folder("fine"), folder("ck1"), {"processingTime": "1 second"}),
+        jobs.to_files(broken, folder("broken"), folder("ck2"), {"processingTime": "1 second"}),
+    ]
     try:
         with pytest.raises(Exception, match="boom"):
-            jobs.wait_for_all(session)
+            jobs.wait_for_all(queries)
     finally:
-        for query in session.streams.active:
+        for query in queries:
             query.stop()
 
 
