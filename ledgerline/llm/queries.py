@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import bpe_codec, packing, url_filter
+from ledgerline.llm import bpe_codec, packing, url_filter, warc
 from ledgerline.plans.registry import Query
 
 QUERIES: dict[str, Query] = {
     "op2_packing": Query(packing.query, None),
+    "op3_warc": Query(warc.query, warc.SQL),
     "op8_url_filter": Query(url_filter.query, url_filter.SQL),
     "op9_bpe_codec": Query(bpe_codec.query, None),
 }
