@@ -76,7 +76,15 @@ def _blocks(data: np.ndarray, space: np.ndarray, most: int):
 
 def words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and hashes of the words of ``data`` (bytes of one or more texts, parted by any space)."""
-    space = _IS_SPACE[data]
+    return _runs(data, _IS_SPACE[data])
+
+
+def lines(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same of the lines that are not empty."""
+    return _runs(data, data == 10)
+
+
+def _runs(data: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends, hashes = [], [], []
     for a, b in _blocks(data, space, BLOCK):
         part = np.ones(b - a + 2, dtype=bool)
