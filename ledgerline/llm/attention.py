@@ -1,7 +1,7 @@
 """A small causal self-attention model over subword ids, in numpy.
 
-A window's ids are embedded, one masked attention layer mixes each position with those before it, and a hidden layer
-gives the weights of ``MIXTURE`` unigram distributions, whose weighted mean is the distribution of the next id. So a
+A window's ids are embedded, one masked attention layer mixes each position with those before it, and a hidden layer,
+which also sees the position's and the previous id directly, gives the weights of ``MIXTURE`` unigram distributions, whose weighted mean is the distribution of the next id. So a
 position costs a few small products, not one per entry of the vocabulary, and the probabilities add up to one.
 Ids outside the ``shown`` ones share one entry, which is split by how often each occurs.
 """
@@ -14,10 +14,20 @@ import numpy as np
 
 from ledgerline.llm.bytepair import ragged
 
-WIDTH, HIDDEN, MIXTURE = 24, 32, 32
-WINDOW, STRIDE = 48, 32
+WIDTH, HIDDEN, MIXTURE = 24, 64, 48
+WINDOW, STRIDE = 32, 26
 #: Windows that go through the model together.
-BATCH = 256
+BATCH = 128
+
+
+def summed(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of ``values`` by row number."""
+    out = np.zeros((n, values.shape[1]), dtype=values.dtype)
+    if len(rows):
+        order = np.argsort(rows, kind="stable")
+        first = np.flatnonzero(np.diff(rows[order], prepend=-1))
+        out[rows[order[first]]] = np.add.reduceat(values[order], first, axis=0)
+    return out
 
 
 @dataclass
@@ -96,6 +106,8 @@ class Attention:
                 "O": start(WIDTH, WIDTH),
                 "H": start(WIDTH, HIDDEN),
                 "h": np.zeros(HIDDEN, dtype=np.float32),
+                "T": random.normal(0, 0.1, (entries, HIDDEN)).astype(np.float32),
+                "S": random.normal(0, 0.1, (entries, HIDDEN)).astype(np.float32),
                 "M": start(HIDDEN, MIXTURE),
                 "m": np.zeros(MIXTURE, dtype=np.float32),
                 "B": (np.log(unigram) + noise).astype(np.float32),
@@ -104,23 +116,28 @@ class Attention:
 
     def forward(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
         """From entries [windows, WINDOW]; ``pi`` are the mixture weights of each position."""
-        t = self.theta
+        t, shape = self.theta, inputs.shape
         x = t["E"][inputs] + t["P"]
-        q, k, v = x @ t["Q"], x @ t["K"], x @ t["V"]
-        s = q @ k.transpose(0, 2, 1)
-        s *= np.float32(WIDTH**-0.5)
-        s += self.mask
-        s -= s.max(axis=2, keepdims=True)
-        np.exp(s, out=s)
-        s /= s.sum(axis=2, keepdims=True)
-        mixed = s @ v
-        r = x + mixed @ t["O"]
-        u = np.tanh(r @ t["H"] + t["h"])
+        rows = x.reshape(-1, WIDTH)
+        joint = rows @ np.concatenate([t["Q"] * np.float32(WIDTH**-0.5), t["K"], t["V"]], axis=1)
+        q, k, v = (joint[:, i * WIDTH : (i + 1) * WIDTH].reshape(*shape, WIDTH) for i in range(3))
+        a = q @ k.transpose(0, 2, 1)
+        a += self.mask
+        np.minimum(a, 60, out=a)
+        np.exp(a, out=a)
+        a /= a.sum(axis=2, keepdims=True) + np.float32(1e-30)
+        mixed = (a @ v).reshape(-1, WIDTH)
+        r = rows + mixed @ t["O"]
+        u = (r @ t["H"]).reshape(*shape, HIDDEN)
+        u += t["h"] + t["T"][inputs]
+        u[:, 1:] += t["S"][inputs[:, :-1]]
+        u = np.maximum(u, 0, out=u).reshape(-1, HIDDEN)
         z = u @ t["M"] + t["m"]
-        z -= z.max(axis=2, keepdims=True)
+        z -= z.max(axis=1, keepdims=True)
         np.exp(z, out=z)
-        z /= z.sum(axis=2, keepdims=True)
-        return {"x": x, "q": q, "k": k, "v": v, "a": s, "mixed": mixed, "r": r, "u": u, "pi": z}
+        z /= z.sum(axis=1, keepdims=True)
+        wide = lambda m: m.reshape(*shape, -1)
+        return {"x": x, "q": q, "k": k, "v": v, "a": a, "mixed": wide(mixed), "r": wide(r), "u": wide(u), "pi": wide(z)}
 
     def tables(self) -> np.ndarray:
         """The unigram distributions as [entries, MIXTURE]."""
@@ -136,22 +153,21 @@ class Attention:
         n = max(int(scored.sum()), 1)
         duty = joint / p[..., None] * scored[..., None]
         dz = (f["pi"] * scored[..., None] - duty) / n
-        counts = np.zeros((b.shape[0], MIXTURE), dtype=np.float32)
-        np.add.at(counts, targets[scored], duty[scored])
+        counts = summed(targets[scored], duty[scored], b.shape[0])
         db = (counts.sum(axis=0)[:, None] * b.T - counts.T) / n
         flat = lambda a: a.reshape(-1, a.shape[-1])
-        dpre = (dz @ t["M"].T) * (1 - f["u"] ** 2)
+        dpre = (dz @ t["M"].T) * (f["u"] > 0)
         dr = dpre @ t["H"].T
         dmix = dr @ t["O"].T
         da = dmix @ f["v"].transpose(0, 2, 1)
         dv = f["a"].transpose(0, 2, 1) @ dmix
-        ds = f["a"] * (da - (da * f["a"]).sum(axis=2, keepdims=True)) * np.float32(WIDTH**-0.5)
-        dq, dk = ds @ f["k"], ds.transpose(0, 2, 1) @ f["q"]
+        ds = f["a"] * (da - (da * f["a"]).sum(axis=2, keepdims=True)) 
+        dq, dk = ds @ f["k"] * np.float32(WIDTH**-0.5), ds.transpose(0, 2, 1) @ f["q"]
         dx = dr + dq @ t["Q"].T + dk @ t["K"].T + dv @ t["V"].T
-        de = np.zeros_like(t["E"])
-        np.add.at(de, inputs.ravel(), flat(dx))
         out = {
-            "E": de,
+            "E": summed(inputs.ravel(), flat(dx), len(t["E"])),
+            "T": summed(inputs.ravel(), flat(dpre), len(t["T"])),
+            "S": summed(inputs[:, :-1].ravel(), flat(dpre[:, 1:]), len(t["S"])),
             "P": dx.sum(axis=0),
             "Q": flat(f["x"]).T @ flat(dq),
             "K": flat(f["x"]).T @ flat(dk),
@@ -200,5 +216,7 @@ class Attention:
 
     def logs(self, inputs: np.ndarray, targets: np.ndarray, tables: np.ndarray) -> np.ndarray:
         """log10 of the probability of each target's entry."""
-        p = np.einsum("wtk,wtk->wt", self.forward(inputs)["pi"], tables[targets])
+        p = self.forward(inputs)["pi"]
+        p *= tables[targets]
+        p = p.sum(axis=2)
         return np.log10(np.maximum(p, 1e-30))

@@ -29,8 +29,8 @@ from ledgerline.llm.common import saved, table
 from ledgerline.llm.word_counts import lowered, unigram
 
 #: Training documents and windows of the gradient steps, which the driver takes.
-TRAIN_DOCS, TRAIN_WINDOWS = 1_500, 6_000
-SHOWN, PASSES, RATE = 4_096, 4, 0.01
+TRAIN_DOCS, TRAIN_WINDOWS = 2_500, 80_000
+SHOWN, PASSES, RATE = 4_096, 2, 0.02
 #: One training document in so many re-estimates the distributions.
 STRIDES = 16
 
