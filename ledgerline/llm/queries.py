@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import bpe_codec, line_rules, lm_score, packing, quality_model, url_filter, warc
+from ledgerline.llm import bpe_codec, line_rules, lm_score, near_dup, packing, quality_model, url_filter, warc
 from ledgerline.plans.registry import Query
 
 QUERIES: dict[str, Query] = {
     "op2_packing": Query(packing.query, None),
     "op3_warc": Query(warc.query, warc.SQL),
     "op4_lm_score": Query(lm_score.query, None),
+    "op5_near_dup": Query(near_dup.query, None),
     "op6_quality": Query(quality_model.query, None),
     "op7_line_rules": Query(line_rules.query, None),
     "op8_url_filter": Query(url_filter.query, url_filter.SQL),
