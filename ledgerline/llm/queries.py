@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import bpe_codec, line_rules, lm_score, near_dup, packing, quality_model, url_filter, warc
+from ledgerline.llm import bpe_codec, line_rules, lm_score, near_dup, packing, passages, quality_model, url_filter, warc
 from ledgerline.plans.registry import Query
 
 QUERIES: dict[str, Query] = {
@@ -14,4 +14,5 @@ QUERIES: dict[str, Query] = {
     "op7_line_rules": Query(line_rules.query, None),
     "op8_url_filter": Query(url_filter.query, url_filter.SQL),
     "op9_bpe_codec": Query(bpe_codec.query, None),
+    "op10_passages": Query(passages.query, None),
 }
