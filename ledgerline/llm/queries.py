@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import bpe_codec, line_rules, lm_score, near_dup, packing, passages, quality_model, url_filter, warc
+from ledgerline.llm import bpe_codec, embedding_dedup, line_rules, lm_score, near_dup, packing, passages, quality_model, url_filter, warc
 from ledgerline.plans.registry import Query
 
 QUERIES: dict[str, Query] = {
+    "op1_embedding_dedup": Query(embedding_dedup.query, None),
     "op2_packing": Query(packing.query, None),
     "op3_warc": Query(warc.query, warc.SQL),
     "op4_lm_score": Query(lm_score.query, None),
