@@ -17,11 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import scan
-from ledgerline.llm.common import by_bytes, table
+from ledgerline.llm.common import by_bytes, per_frame, table
 
 SYMBOLS = b"#*$%&|<>"
 #: Labelled documents that the field is fitted to, and lines of each.
@@ -223,40 +224,58 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, train_docs: int
     return Field.fitted(lines, [suspicious(f).astype(int) * (1 - r.q) for f, r in zip(lines, got)])
 
 
+ADDED = {
+    "n_words": "long",
+    "word_chars": "long",
+    "n_symbols": "long",
+    "n_dup_lines": "long",
+    "n_repeat_words": "long",
+    "content_share": "double",
+    "base_failed": "boolean",
+    "kept": "boolean",
+}
+
+
+def verdicts(texts, field: Field, least_share: float) -> pd.DataFrame:
+    """The columns of ``ADDED`` for each text."""
+    raw, out = scan.encoded(texts), []
+    for part in by_bytes(np.array([len(t) for t in raw]), scan.BLOCK):
+        lines = Lines(raw[part])
+        marks = field.decode(lines.features, lines.first, lines.count)
+        content = lines._per_doc(lines.words * (marks == 0), len(lines.n_words))
+        n = lines.n_words
+        share = np.where(n > 0, content / np.maximum(n, 1), 0.0)
+        failed = (n < LEAST_WORDS) | (100 * lines.n_repeat_words > MOST_REPEATED * n)
+        kept = ~failed & (share >= least_share)
+        held = (n, lines.word_chars, lines.n_symbols, lines.n_dup_lines, lines.n_repeat_words, share, failed, kept)
+        out.append(pd.DataFrame(dict(zip(ADDED, held))))
+    return pd.concat(out, ignore_index=True)
+
+
 def judged(docs: DataFrame, field: Field, key: str = "doc_id", text: str = "text", least_share: float = LEAST_SHARE) -> DataFrame:
-    """All columns of ``docs`` but those it adds: counts, ``content_share``, ``base_failed`` and ``kept``."""
-    added = {
-        "n_words": "long",
-        "word_chars": "long",
-        "n_symbols": "long",
-        "n_dup_lines": "long",
-        "n_repeat_words": "long",
-        "content_share": "double",
-        "base_failed": "boolean",
-        "kept": "boolean",
-    }
+    """(key, counts, ``content_share``, ``base_failed``, ``kept``) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts = scan.encoded(frame[text])
-            out = []
-            for part in by_bytes(np.array([len(t) for t in texts]), scan.BLOCK):
-                lines = Lines(texts[part])
-                marks = shared.value.decode(lines.features, lines.first, lines.count)
-                content = lines._per_doc(lines.words * (marks == 0), len(lines.n_words))
-                n = lines.n_words
-                share = np.where(n > 0, content / np.maximum(n, 1), 0.0)
-                failed = (n < LEAST_WORDS) | (100 * lines.n_repeat_words > MOST_REPEATED * n)
-                kept = ~failed & (share >= least_share)
-                held = (n, lines.word_chars, lines.n_symbols, lines.n_dup_lines, lines.n_repeat_words, share, failed, kept)
-                out.append(pd.DataFrame(dict(zip(added, held))))
-            got = pd.concat(out, ignore_index=True)
-            got.index = frame.index
-            yield pd.concat([frame.drop(columns=[text]), got], axis=1)
-
-    chosen = docs.select(key, text)
-    return chosen.mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, " + ", ".join(f"{n} {k}" for n, k in added.items()))
+    def step(frame: pd.DataFrame) -> pd.DataFrame:
+        got = verdicts(frame[text], shared.value, least_share)
+        got.insert(0, key, frame[key].to_numpy())
+        return got
+
+    schema = f"{key} {dict(docs.dtypes)[key]}, " + ", ".join(f"{n} {k}" for n, k in ADDED.items())
+    return docs.select(key, text).mapInPandas(per_frame(step), schema)
+
+
+def filtered(docs: DataFrame, field: Field, text: str = "text", least_share: float = LEAST_SHARE) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                kept = verdicts(batch.column(text).to_pylist(), shared.value, least_share)["kept"]
+                yield batch.filter(pa.array(kept.to_numpy()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

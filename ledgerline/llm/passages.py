@@ -363,8 +363,7 @@ def spans(text_rows: list[tuple[int, bool, list[bytes], bytes]]) -> Iterator[tup
 def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256), or with the kept ``text``, of every row.
 
-    Kept bytes that are no UTF-8 any more, where a cut falls inside a character, become replacement characters in
-    ``text``; the digest is of the bytes.
+    Where a cut falls inside a character, what is left of it is dropped from ``text``; the digest is of the bytes.
     """
     spark = docs.sparkSession
     parts = tasks(spark)
@@ -394,7 +393,7 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text
                 raw = np.frombuffer(body, dtype=np.uint8)[~gone].tobytes()
                 edge = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
                 digest = hashlib.sha256(raw).hexdigest()
-                out.append((doc, len(body), int(gone.sum()), edge, digest, raw.decode("utf-8", "replace") if with_text else None))
+                out.append((doc, len(body), int(gone.sum()), edge, digest, raw.decode("utf-8", "ignore") if with_text else None))
             yield pd.DataFrame(out, columns=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"])
 
     schema = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string"
