@@ -3,9 +3,11 @@
 A document is the multiset of its five-word runs; two are near copies if the sum of the smaller counts is at least
 ``least`` of the sum of the larger ones. Documents with equal multisets are one class from the start, so a text that
 a third of the corpus repeats is one row afterwards. Classes get BagMinHash signatures; those that share a band are
-candidates. Within a band each class is first compared with the smallest one, which joins a large group of near
-copies in as many comparisons as it has members; then only classes of a band that are still unconnected are compared
-with each other. Every link is verified on the whole texts.
+candidates. Within a band each class is first compared with the one that meets most others in all its bands, which in a
+group of copies is the original or close to it; then, while that finds many links, those still unconnected with
+another one, chosen at random. So a large group of near copies is joined by as many comparisons as it has members.
+Once the pairs of a band's unconnected classes are few, or such rounds find little, all of these are compared, in
+blocks. Every link is verified on the whole texts.
 
 * Null and empty texts, and texts of white space, have no shingle: they are near copies of nothing.
 * Fewer than five words: all of them are one shingle.
@@ -32,6 +34,8 @@ SHINGLE = 5
 LEAST = 0.8
 #: A pair of similarity 0.8 shares a band of six values with probability 0.99994, one of 0.5 with 0.4.
 BANDS, ROWS = 32, 6
+#: Members of a band that are compared with each other in one task.
+BLOCK = 512
 
 
 def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,14 +86,11 @@ def described(docs: DataFrame, key: str, text: str, bands: int = BANDS, rows: in
     return rows_.mapInPandas(run, "node long, n long, f1 long, f2 long, bands array<long>")
 
 
-def similarity(a: bytes, b: bytes) -> float:
-    """Weighted Jaccard similarity of two texts' shingles."""
-    owner, runs, count = shingles([a, b])
-    one, two = runs[owner == 0], runs[owner == 1]
-    c, d = count[owner == 0], count[owner == 1]
-    _, i, j = np.intersect1d(one, two, assume_unique=True, return_indices=True)
-    both = int(np.minimum(c[i], d[j]).sum())
-    total = int(c.sum() + d.sum()) - both
+def similarity(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
+    """Weighted Jaccard similarity of two texts' distinct shingles and their counts."""
+    _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
+    both = int(np.minimum(x[1][i], y[1][j]).sum())
+    total = int(x[1].sum() + y[1].sum()) - both
     return both / total if total else 0.0
 
 
@@ -99,14 +100,82 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grow = zstandard.ZstdDecompressor()
         for frame in frames:
-            good = [similarity(grow.decompress(x), grow.decompress(y)) >= least for x, y in zip(frame["x"], frame["y"])]
-            yield frame.loc[good, ["a", "b"]]
+            for at in range(0, len(frame), 2_000):
+                part = frame.iloc[at : at + 2_000]
+                blobs = dict(zip(part["a"], part["x"])) | dict(zip(part["b"], part["y"]))
+                raw, held = [grow.decompress(b) for b in blobs.values()], {}
+                nodes = list(blobs)
+                for cut in by_bytes(np.array([len(t) for t in raw]), scan.BLOCK):
+                    owner, runs, count = shingles(raw[cut])
+                    ends = np.searchsorted(owner, np.arange(cut.stop - cut.start + 1))
+                    for i, (c, d) in enumerate(zip(ends, ends[1:])):
+                        held[nodes[cut.start + i]] = runs[c:d], count[c:d]
+                good = [similarity(held[x], held[y]) >= least for x, y in zip(part["a"], part["b"])]
+                yield part.loc[good, ["a", "b"]]
 
     x = texts.select(F.col("node").alias("a"), F.col("packed").alias("x"))
     y = texts.select(F.col("node").alias("b"), F.col("packed").alias("y"))
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
 
 
+def _blocks_compared(least: float):
+    """Links between the rows of two blocks of one band, each pair in the first band that it shares."""
+
+    def links(x: pd.DataFrame, y: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        bands = [np.stack([np.asarray(b) for b in f["bands"]]) for f in (x, y)]
+        band = int(x["band"].iloc[0])
+        here = int(np.flatnonzero(bands[0][0] == band)[0])
+        n, c, node = ([f[name].to_numpy() for f in (x, y)] for name in ("n", "component", "node"))
+        ask = (c[0][:, None] != c[1]) & (node[0][:, None] < node[1])
+        ask &= (n[1] >= least * n[0][:, None]) & (n[0][:, None] >= least * n[1])
+        for k in range(here):
+            ask &= bands[0][:, k, None] != bands[1][:, k]
+        some = [np.flatnonzero(ask.any(axis=1)), np.flatnonzero(ask.any(axis=0))]
+        if not len(some[0]):
+            return some[0], some[0]
+        grow, rows, cells = zstandard.ZstdDecompressor(), [], []
+        texts = [grow.decompress(f["packed"].iloc[i]) for f, own in zip((x, y), some) for i in own]
+        for cut in by_bytes(np.array([len(t) for t in texts]), scan.BLOCK):
+            owner, runs, count = shingles(texts[cut])
+            turn = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            rows.append(np.repeat(owner + cut.start, count))
+            cells.append(scan.mixed(np.repeat(runs, count) + turn.astype(np.uint64)))
+        row, (_, cell) = np.concatenate(rows), np.unique(np.concatenate(cells), return_inverse=True)
+        many = np.bincount(cell)[cell] > 1
+        row, cell = row[many], np.unique(cell[many], return_inverse=True)[1]
+        width, both = int(cell.max(initial=-1)) + 1, np.zeros((len(some[0]), len(some[1])))
+        for low in range(0, width, 4096):
+            own = (cell >= low) & (cell < low + 4096)
+            held = np.zeros((len(texts), 4096), dtype=np.float32)
+            held[row[own], cell[own] - low] = 1
+            both += held[: len(some[0])] @ held[len(some[0]) :].T
+        total = n[0][some[0]][:, None] + n[1][some[1]] - both
+        i, j = np.nonzero((both >= least * total) & ask[np.ix_(*some)])
+        return node[0][some[0][i]], node[1][some[1][j]]
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        first = frame["block"] == frame["i"]
+        a, b = links(frame[first], frame[frame["block"] == frame["j"]])
+        c, d = links(frame[frame["block"] == frame["j"]], frame[first]) if not first.all() else (a[:0], b[:0])
+        return pd.DataFrame({"a": np.concatenate([a, c]), "b": np.concatenate([b, d])}).astype("int64")
+
+    return run
+
+
+def exhausted(open_: DataFrame, reps: DataFrame, texts: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between unconnected members of a band (band, node, n, component): all are compared, in blocks.
+
+    A block is compared with every block of its band; no pair leaves its task unless it is a link.
+    """
+    sizes = open_.groupBy("band").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    rows = open_.join(sizes, "band").join(reps.select("node", "bands"), "node").join(texts, "node")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
+    rows = rows.select("band", "node", "n", "component", "bands", "packed", "block", other)
+    rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
+    return rows.groupBy("band", "i", "j").applyInPandas(_blocks_compared(least), "a long, b long").distinct()
+
+
 def packed_texts(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
     """(node, packed): compressed texts of the nodes, one of each."""
 
@@ -130,23 +199,39 @@ def near_copies(
     same = saved(same.groupBy("node").agg(F.min("rep").alias("rep")))
     reps = marks.join(same.where("node = rep").select("node"), "node", "left_semi").where("n > 0")
     banded = reps.select("node", "n", F.explode(F.array_distinct("bands")).alias("band"))
-    heads = banded.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("_m")).where("_m > 1").drop("_m")
-    banded = saved(banded.join(heads, "band"))
+    sizes = banded.groupBy("band").agg(F.count("*").alias("m")).where("m > 1")
+    banded = saved(banded.join(sizes, "band"))
+    rank = banded.groupBy("node").agg(F.sum("m").alias("rank"))
+    banded = saved(banded.drop("m").join(rank, "node"))
     texts = saved(packed_texts(docs, banded.select("node").distinct(), key, text))
-    star = banded.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+    head = F.max(F.struct("rank", -F.col("node"))).alias("r")
+    heads = banded.groupBy("band").agg(head).select("band", (-F.col("r.col2")).alias("b"))
+    star = banded.select("band", F.col("node").alias("a")).join(heads, "band").where("a <> b").select("a", "b").distinct()
     links = saved(verified(star, texts, least))
-    linked = components(links, "a", "b")
-    placed = banded.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = placed.groupBy("band").agg(F.min("component").alias("_l"), F.max("component").alias("_h")).where("_l < _h")
-    open_ = saved(placed.join(split.select("band"), "band", "left_semi").select("band", "node", "n", "component"))
-    left = open_.select("band", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    right = open_.select("band", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    fits = (F.col("nb") >= least * F.col("na")) & (F.col("na") >= least * F.col("nb"))
-    rest = left.join(right, (left["band"] == right["band"]) & (left["ca"] < right["cb"]) & fits).select("a", "b").distinct()
-    rest = rest.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    rest = rest.join(star.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = saved(verified(rest, texts, least))
-    edges = links.unionByName(more).unionByName(same.select(F.col("node").alias("a"), F.col("rep").alias("b")))
+    fits = (F.col("nb") >= least * F.col("na")) & (F.col("na") >= least * F.col("nb")) & (F.col("ca") != F.col("cb"))
+    turn, new, tried = 0, 0, 0
+    while True:
+        placed = banded.join(components(links, "a", "b"), "node", "left")
+        placed = placed.withColumn("component", F.coalesce("component", "node"))
+        split = placed.groupBy("band").agg(F.min("component").alias("_l"), F.max("component").alias("_h")).where("_l < _h")
+        open_ = saved(placed.join(split.select("band"), "band", "left_semi").select("band", "node", "n", "component"))
+        sizes = open_.groupBy("band", "component").agg(F.count("*").cast("double").alias("m")).groupBy("band")
+        sizes = sizes.agg(F.sum("m").alias("m"), (F.pow(F.sum("m"), 2) - F.sum(F.col("m") * F.col("m"))).alias("p"))
+        members, crossing = sizes.agg(F.coalesce(F.sum("m"), F.lit(0.0)), F.coalesce(F.sum("p"), F.lit(0.0)) / 2).first()
+        if not members:
+            break
+        if crossing <= 2 * members or turn > 0 and new < 0.1 * tried:
+            links = links.unionByName(saved(exhausted(open_, reps, texts, least)))
+            break
+        turn += 1
+        left = open_.select("band", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+        chosen = F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "n", "component")).alias("r")
+        right = open_.groupBy("band").agg(chosen)
+        right = right.select("band", F.col("r.node").alias("b"), F.col("r.n").alias("nb"), F.col("r.component").alias("cb"))
+        pairs = saved(left.join(right, "band").where(fits).select("a", "b").distinct())
+        more = saved(verified(pairs, texts, least))
+        new, tried, links = more.count(), pairs.count(), links.unionByName(more)
+    edges = links.unionByName(same.select(F.col("node").alias("a"), F.col("rep").alias("b")))
     found = components(edges, "a", "b")
     out = docs.select(F.col(key)).join(found, F.col(key) == F.col("node"), "left")
     return out.select(
