@@ -71,5 +71,9 @@ def severity_level(
 
 
 def exact_sum(column: Column) -> Column:
-    """Sum of a money column over decimals, so that the result does not depend on the order of rows."""
-    return F.sum(column.cast("decimal(18,2)")).cast("double")
+    """Sum of a money column over decimals, so that the result does not depend on the order of rows.
+
+    Amounts that are no number of at most 36 digits before the point (NaN, infinities) are left out, like NULL; a
+    sum that is too large is NULL.
+    """
+    return F.try_sum(column.try_cast("decimal(38,2)")).cast("double")

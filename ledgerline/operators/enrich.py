@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.layout import MAX_LISTED
-
 
 def enrich(
     events: DataFrame, master: DataFrame, on: Sequence[tuple[str, str]], columns: Sequence[str]
@@ -31,18 +29,18 @@ def enrich_stream(
     key: tuple[str, str],
     columns: Sequence[str],
     id_column: str,
-    salts: int = 16,
+    salts: int = 1,
 ) -> DataFrame:
     """Stream-static form of :func:`enrich`, where AQE cannot split hot keys.
 
-    A master table known to be small is broadcast by Spark as usual. For a larger one the events of each key are
-    spread over ``salts`` tasks by their own id, and the master rows are repeated per salt.
+    Spark broadcasts the master table while it is under ``spark.sql.autoBroadcastJoinThreshold``. For a larger one
+    with hot keys ``salts`` above 1 spreads the events of a key over that many tasks by their own id, and repeats
+    the master rows as often.
     """
     left, right = key
-    small = master.limit(MAX_LISTED + 1).count() <= MAX_LISTED
     dim = master.select(F.col(right).alias("_key"), *columns)
-    if small:
-        return events.join(F.broadcast(dim), events[left] == dim["_key"], "left").select(*events.columns, *columns)
+    if salts == 1:
+        return events.join(dim, events[left] == dim["_key"], "left").select(*events.columns, *columns)
     dim = dim.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = events.withColumn("_salt", F.pmod(F.hash(id_column), F.lit(salts)))
     match = (salted[left] == dim["_key"]) & (salted["_salt"] == dim["_dim_salt"])

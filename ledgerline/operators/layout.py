@@ -1,56 +1,25 @@
-"""How rows are laid out over tasks and files before a date-partitioned write."""
+"""How rows are laid out over tasks and files before a partitioned write."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-ROWS_PER_FILE = 2_000_000
-# More distinct partition values than this are handled by joins and uniform salting instead of driver-side lists.
-MAX_LISTED = 10_000
 
-
-def rows_per_value(df: DataFrame, column: str, limit: int = MAX_LISTED) -> dict | None:
-    """Row count of each value of ``column``; ``None`` where there are more than ``limit`` values."""
-    rows = df.groupBy(column).count().limit(limit + 1).collect()
-    return None if len(rows) > limit else {r[0]: r[1] for r in rows}
+def planned_by(session: SparkSession | None, df: DataFrame) -> DataFrame:
+    """The same rows, planned with the settings of ``session``. A micro-batch comes with a session of its own in
+    which adaptive execution is off."""
+    if session is None or session is df.sparkSession:
+        return df
+    return session.createDataFrame([], df.schema).unionByName(df)
 
 
-def spread(
-    df: DataFrame,
-    column: str,
-    keys: Sequence[str],
-    counts: dict | None = None,
-    rows_per_file: int = ROWS_PER_FILE,
-) -> DataFrame:
-    """Brings the rows of one partition value together, but never more than about ``rows_per_file`` into one task.
+def gathered(df: DataFrame, columns: Sequence[str], session: SparkSession | None = None) -> DataFrame:
+    """Brings the rows of one partition together, so that few tasks write into it.
 
-    A value with many rows is split over as many tasks as its count asks for, by a hash of the row's key, so a
-    day that holds a third of the table is written by a third of the tasks. Without counts only the ``MAX_LISTED``
-    largest values are looked up and split; each of the others holds less than one part in ``MAX_LISTED`` of all rows.
+    Spark splits large partitions and merges small ones by their bytes
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), so a day with a third of all rows is written by a third
+    of the tasks. Without adaptive execution it is a plain repartition.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    key_hash = F.xxhash64(*keys)
-    if counts == {}:
-        return df
-    if counts is None:
-        over = df.groupBy(column).count().filter(F.col("count") > rows_per_file)
-        sized = {r[0]: r[1] for r in over.orderBy(F.desc("count")).limit(MAX_LISTED).collect()}
-        at_least = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    else:
-        sized = counts
-        at_least = min(cores, len(counts))
-    splits = {value: math.ceil(n / rows_per_file) for value, n in sized.items()}
-    tasks = max(at_least, math.ceil(sum(sized.values()) / rows_per_file))
-    large = [(value, n) for value, n in splits.items() if n > 1]
-    if not large:
-        return df.repartition(tasks, column)
-    # At most MAX_LISTED rows, so the hint cannot ship anything large.
-    sizes = spark.createDataFrame(large, df.select(F.col(column).alias("_value"), F.lit(0).alias("_splits")).schema)
-    joined = df.join(F.broadcast(sizes), df[column].eqNullSafe(sizes["_value"]), "left")
-    salt = F.pmod(key_hash, F.coalesce("_splits", F.lit(1)))
-    return joined.withColumn("_salt", salt).repartition(tasks, column, "_salt").select(*df.columns)
+    return planned_by(session, df).hint("rebalance", *columns)

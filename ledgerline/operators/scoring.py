@@ -2,26 +2,32 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import Bucketizer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-FEATURES = ("amount", "hour", "geo_missing", "lat", "lon")
+from ledgerline.session import shared_root
+
+FEATURES = ("amount_value", "amount_known", "hour", "geo_missing", "lat", "lon")
 PROMOTION_AUC = 0.85
 
 
 def fraud_features(silver: DataFrame) -> DataFrame:
-    """Numeric features of a transaction; works on batch and stream."""
+    """Numeric features of a transaction, none of them NULL or NaN: an amount that is no number counts as 0 and as
+    unknown. Works on batch and stream."""
     return silver.withColumns(
         {
             "hour": F.coalesce(F.hour("timestamp"), F.lit(-1)).cast("double"),
             "geo_missing": F.col("geo_lat").isNull().cast("double"),
             "lat": F.coalesce("geo_lat", F.lit(0.0)),
             "lon": F.coalesce("geo_lon", F.lit(0.0)),
+            "amount_known": (F.col("amount").isNotNull() & ~F.isnan("amount")).cast("double"),
+            "amount_value": F.coalesce(F.nanvl("amount", F.lit(0.0)), F.lit(0.0)),
         }
     )
 
@@ -43,21 +49,24 @@ def score(model: PipelineModel, silver: DataFrame) -> DataFrame:
     )
 
 
-def exact_auc(scored: DataFrame, score_column: str, label: str, buckets: int = 256) -> DataFrame:
+def exact_auc(scored: DataFrame, score_column: str, label: str, per_range: int = 100_000) -> DataFrame:
     """``(positives, negatives, auc)``: the share of positive/negative pairs ranked right, ties counting half.
 
-    Rows are first counted per distinct score, so ties never gather in one task. Distinct scores are cut into
-    ``buckets`` ranges at quantiles, ranked inside each range in parallel, and only one total per range is
-    accumulated in order.
+    Rows are first counted per distinct score, so ties never gather in one task; these counts are checkpointed, so
+    the input is read once. Distinct scores are sorted into ranges of about ``per_range``, as many as that takes,
+    ranked inside each range in parallel, and only one total per range is accumulated in order. NULL and NaN scores
+    are left out.
     """
     per_score = (
-        scored.filter(F.col(score_column).isNotNull())
+        scored.filter(F.col(score_column).isNotNull() & ~F.isnan(F.col(score_column).cast("double")))
         .groupBy(F.col(score_column).alias("_score"))
         .agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) != 1).alias("_n"))
     )
-    cuts = per_score.approxQuantile("_score", [i / buckets for i in range(1, buckets)], 1 / (4 * buckets))
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="_score", outputCol="_range").transform(per_score)
+    shared_root(scored.sparkSession)
+    per_score = per_score.checkpoint()
+    ranges = max(1, math.ceil(per_score.count() / per_range))
+    # Sorted partitions in order of the score: the partition's number is the range.
+    ranged = per_score.repartitionByRange(ranges, "_score").withColumn("_range", F.spark_partition_id())
     below = Window.partitionBy("_range").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
     big = "decimal(38,0)"
     inside = F.coalesce(F.sum("_n").over(below), F.lit(0))
@@ -68,7 +77,7 @@ def exact_auc(scored: DataFrame, score_column: str, label: str, buckets: int = 2
         .groupBy("_range")
         .agg(F.sum("_p").alias("_p"), F.sum("_n").alias("_n"), F.sum("_wins").cast(big).alias("_wins"))
     )
-    # One row per range from here on, at most ``buckets`` in all.
+    # One row per range from here on.
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
     ranked = totals.withColumn(

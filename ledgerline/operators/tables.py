@@ -7,17 +7,18 @@ needs a single writer, and a reader that lists files during the commit may see o
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerline import schemas
 from ledgerline.operators.dedup import one_per_key
-from ledgerline.operators.layout import MAX_LISTED, ROWS_PER_FILE, rows_per_value, spread
-from ledgerline.session import shared_root
+from ledgerline.operators.layout import gathered
 from ledgerline.sources import files
 
 # --- Catalog tables -----------------------------------------------------------------------------------
@@ -52,68 +53,117 @@ def append_or_create(df: DataFrame, table: str, partition_by: str | None = None)
 
 
 def replace_table(df: DataFrame, table: str, partition_by: str | None = None) -> int:
-    """Creates the table from ``df``, replacing the one that is there; rows written."""
+    """Creates the table from ``df``, replacing the one that is there; rows written.
+
+    The rows are written beside the old table, which is dropped only then: a failing replace leaves it as it was,
+    and ``df`` may read it.
+    """
+    spark = df.sparkSession
+    fresh = f"{table}__{uuid.uuid4().hex[:12]}"
     counted, written = _counted(df)
-    writer = counted.write.format("parquet").mode("overwrite")
+    writer = counted.write.format("parquet").mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(table)
-    return written.get["rows"]
+    try:
+        writer.saveAsTable(fresh)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    rows = written.get["rows"]
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    if partition_by:  # the catalog's list of partitions may not have moved along
+        spark.catalog.recoverPartitions(table)
+    return rows
 
 
 # --- Partitioned folders ------------------------------------------------------------------------------
 
 
-def append(df: DataFrame, path: str, partition: str | None = "dt") -> None:
-    """Map-only append: no shuffle, so no hot partition either."""
-    writer = df.write.mode("append")
-    if partition:
-        writer = writer.partitionBy(partition)
+# Folder inside a table for rewritten partitions; readers pass over names that begin with an underscore.
+STAGED = "_staged"
+BUCKET = "bucket"
+
+
+def append(
+    df: DataFrame, path: str, partition: str | Sequence[str] | None = "dt", session: SparkSession | None = None
+) -> None:
+    """Adds rows, those of one partition gathered in few tasks, so that the files are about as many as partitions."""
+    columns = [partition] if isinstance(partition, str) else list(partition or ())
+    writer = (gathered(df, columns, session) if columns else df).write.mode("append")
+    if columns:
+        writer = writer.partitionBy(*columns)
     writer.parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition: str = "dt") -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition: str | Sequence[str] = "dt") -> None:
     """Replaces exactly the partitions that occur in ``df``. ``df`` may read the same table."""
+    columns = [partition] if isinstance(partition, str) else list(partition)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
+        .partitionBy(*columns)
         .parquet(path)
     )
 
 
+def finish_rewrite(spark: SparkSession, path: str, schema: StructType, columns: Sequence[str]) -> None:
+    """Puts a complete set of staged partitions in place, and drops an incomplete one. Harmless to repeat."""
+    staged = f"{path}/{STAGED}"
+    if not files.exists(spark, staged):
+        return
+    if files.exists(spark, f"{staged}/_SUCCESS"):
+        overwrite_partitions(spark.read.schema(schema).parquet(staged), path, columns)
+    files.drop_folder(spark, staged)
+
+
+def rewrite(df: DataFrame, path: str, columns: Sequence[str], session: SparkSession | None = None) -> None:
+    """Replaces the partitions that occur in ``df``, by way of a staged copy.
+
+    The old folders go only once all new rows are written beside them, so a job that dies in between has lost
+    nothing: the next write to the table, or :func:`finish_rewrite`, finishes it.
+    """
+    spark = session or df.sparkSession
+    gathered(df, columns, session).write.mode("overwrite").partitionBy(*columns).parquet(f"{path}/{STAGED}")
+    finish_rewrite(spark, path, df.schema, columns)
+
+
 @dataclass(frozen=True)
 class Partitions:
-    """A set of non-NULL partition values: a list for the scan to prune by, or a frame if there are too many."""
+    """A set of partitions by their values, for the scan to prune by. It is never larger than the table's own list
+    of partitions, which Spark holds on the driver for every scan."""
 
-    column: str
-    values: list | None
-    frame: DataFrame | None = None
+    columns: tuple[str, ...]
+    values: tuple[tuple, ...]
 
     @classmethod
-    def of(cls, df: DataFrame, column: str) -> tuple[Partitions, dict | None]:
-        """The values that occur in ``df`` and the rows of each (no counts if there are too many values)."""
-        counts = rows_per_value(df, column)
-        if counts is None:
-            # Checkpointed, because the files it was read from may be replaced before it is used for the last time.
-            shared_root(df.sparkSession)
-            return cls(column, None, df.select(column).dropna().distinct().checkpoint()), None
-        return cls(column, [v for v in counts if v is not None]), counts
+    def of(cls, df: DataFrame, *columns: str) -> Partitions:
+        """The partitions that occur in ``df``, those without a NULL."""
+        found = df.select(*columns).dropna().distinct().collect()
+        return cls(columns, tuple(tuple(r) for r in found))
 
     @property
     def empty(self) -> bool:
-        return self.values is not None and not self.values
+        return not self.values
+
+    def _condition(self) -> Column:
+        by_rest: dict[tuple, list] = {}
+        for first, *rest in self.values:
+            by_rest.setdefault(tuple(rest), []).append(first)
+        out = F.lit(False)
+        for rest, first in by_rest.items():
+            one = F.col(self.columns[0]).isin(first)
+            for name, value in zip(self.columns[1:], rest):
+                one = one & (F.col(name) == value)
+            out = one if len(by_rest) == 1 else out | one
+        return out
 
     def inside(self, df: DataFrame) -> DataFrame:
-        if self.values is not None:
-            return df.filter(F.col(self.column).isin(self.values))
-        return df.join(self.frame, self.column, "left_semi")
+        return df.filter(self._condition())
 
     def outside(self, df: DataFrame) -> DataFrame:
-        """Rows of all other partitions, the NULL partition among them."""
-        if self.values is not None:
-            return df.filter(F.col(self.column).isNull() | ~F.col(self.column).isin(self.values))
-        return df.join(self.frame, self.column, "left_anti")
+        """Rows of all other partitions, those with a NULL among them."""
+        return df.filter(~F.coalesce(self._condition(), F.lit(False)))
 
 
 @dataclass(frozen=True)
@@ -122,13 +172,32 @@ class UpsertResult:
     matched: bool
 
 
-def check_columns(spark: SparkSession, path: str, columns: Sequence[str], partition: str) -> None:
-    """Raises if the table at ``path`` has other columns than the ones to be written. Opens one partition only."""
+def held_columns(spark: SparkSession, path: str, partition: str, values: Sequence) -> list[str]:
+    """All columns that files of the given partitions have (and the partition column), oldest layout or newest."""
     folders = files.partition_values(spark, path, partition)
-    if folders:
-        existing = set(spark.read.parquet(next(iter(folders.values()))).columns) | {partition}
-        if existing != set(columns):
-            raise ValueError(f"columns differ from the table's: {sorted(existing ^ set(columns))}")
+    wanted = [folders[str(v)] for v in values if str(v) in folders]
+    if not wanted:
+        return []
+    reader = spark.read.option("mergeSchema", True).option("basePath", path)
+    return [c for c in reader.parquet(*wanted).columns if c != BUCKET]
+
+
+def check_columns(
+    spark: SparkSession, path: str, columns: Sequence[str], partition: str, values: Sequence, widen: bool = False
+) -> None:
+    """Raises if the touched partitions hold a column that the rows to be written lack, or lack one that these have
+    (unless the table may be widened)."""
+    held = set(held_columns(spark, path, partition, values))
+    odd = held - set(columns) if widen else held ^ set(columns)
+    if held and odd:
+        raise ValueError(f"columns differ from the table's: {sorted(odd)}")
+
+
+def _bucketed(df: DataFrame, keys: Sequence[str], partition: str, buckets: int) -> DataFrame:
+    if buckets == 1:
+        return df
+    names = [k for k in keys if k != partition]
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*names), F.lit(buckets)).cast("int"))
 
 
 def upsert(
@@ -136,8 +205,8 @@ def upsert(
     path: str,
     keys: Sequence[str],
     partition: str = "dt",
-    rows_per_file: int = ROWS_PER_FILE,
-    check: bool = True,
+    buckets: int = 1,
+    widen: bool = False,
     session: SparkSession | None = None,
 ) -> UpsertResult:
     """Rows of ``batch`` replace the table's rows with equal keys; the others are added.
@@ -147,90 +216,87 @@ def upsert(
 
     Only key columns of the touched partitions are read to look for matches. Without any - the normal case for
     fresh events - the batch is appended and nothing is rewritten; otherwise just the partitions with a match are.
+    ``buckets``, a property of the table, divides each date by a hash of the key, so that a match rewrites one
+    bucket of its date only. With ``widen`` a batch may bring new columns, NULL in older rows; a batch that lacks a
+    column of the partitions it touches is always refused.
 
-    ``session`` plans the joins with the table. A micro-batch comes with a session that has adaptive execution
-    switched off, so a stream passes the one it was started from.
+    ``session`` plans the work. A micro-batch comes with a session that has adaptive execution switched off, so a
+    stream passes the one it was started from.
     """
     spark = session or batch.sparkSession
     keys = list(keys)
-    if check:
-        check_columns(spark, path, batch.columns, partition)
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    columns = [partition] + ([BUCKET] if buckets > 1 else [])
+    batch = _bucketed(batch, keys, partition, buckets).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        touched, counts = Partitions.of(batch, partition)
-        rows = batch.count() if counts is None else sum(counts.values())
+        rows = batch.count()
         if rows == 0:
             return UpsertResult(0, False)
-        stale = None
+        finish_rewrite(spark, path, batch.schema, columns)
+        touched = Partitions.of(batch, *columns)
+        stale = Partitions(touched.columns, ())
         if not touched.empty and files.has_data(spark, path):
+            dates = sorted({v[0] for v in touched.values})
+            check_columns(spark, path, [c for c in batch.columns if c != BUCKET], partition, dates, widen)
             target = spark.read.schema(batch.schema).parquet(path)
             batch_keys = batch.select(*keys)
-            hits = touched.inside(target.select(*keys)).join(batch_keys, keys, "left_semi").select(partition)
-            stale, _ = Partitions.of(hits, partition)
-        if stale is None or stale.empty:
-            append(spread(batch, partition, keys, counts, rows_per_file), path, partition)
+            looked = list(dict.fromkeys([*keys, *columns]))
+            hits = touched.inside(target.select(*looked)).join(batch_keys, keys, "left_semi")
+            stale = Partitions.of(hits, *columns)
+        if stale.empty:
+            append(batch, path, columns, session)
             return UpsertResult(rows, False)
-
-        old = stale.inside(target)
-        kept = old.join(batch_keys, keys, "left_anti")
-        merged = kept.unionByName(stale.inside(batch))
-        sizes = None
-        if stale.values is not None and counts is not None:
-            # Row counts of whole partitions come from file footers; matched rows are counted twice, which only
-            # makes the split a little finer.
-            old_counts = rows_per_value(old, partition) or {}
-            sizes = {v: counts.get(v, 0) + old_counts.get(v, 0) for v in stale.values}
+        kept = stale.inside(target).join(batch_keys, keys, "left_anti").select(*batch.columns)
         # Rewrites before additions: if the job dies in between, a rerun rewrites the same rows and then adds the
         # rest once.
-        overwrite_partitions(spread(merged, partition, keys, sizes, rows_per_file), path, partition)
-        if counts is None or set(counts) - set(stale.values or ()):
-            append(spread(stale.outside(batch), partition, keys, counts, rows_per_file), path, partition)
+        rewrite(kept.unionByName(stale.inside(batch)), path, columns, session)
+        rest = stale.outside(batch)
+        if not rest.isEmpty():
+            append(rest, path, columns, session)
         return UpsertResult(rows, True)
     finally:
         batch.unpersist()
 
 
 def insert_new(
-    batch: DataFrame,
-    path: str,
-    keys: Sequence[str],
-    partition: str = "dt",
-    rows_per_file: int = ROWS_PER_FILE,
-    session: SparkSession | None = None,
+    batch: DataFrame, path: str, keys: Sequence[str], partition: str = "dt", session: SparkSession | None = None
 ) -> None:
-    """Adds the rows of ``batch`` whose keys the table does not hold yet: the first write of a key wins."""
+    """Adds the rows of ``batch`` whose keys the table does not hold yet: the first write of a key wins.
+
+    Rows without a date match on the rest of their key, so that they too are held once.
+    """
     spark = session or batch.sparkSession
     keys = list(keys)
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        touched, counts = Partitions.of(batch, partition)
-        if counts == {}:
+        if batch.isEmpty():
             return
         fresh = batch
-        if not touched.empty and files.has_data(spark, path):
-            target = spark.read.schema(batch.schema).parquet(path)
+        if files.has_data(spark, path):
+            touched = Partitions.of(batch, partition)
+            check_columns(spark, path, batch.columns, partition, [v[0] for v in touched.values])
+            target = spark.read.schema(batch.schema).parquet(path).select(*keys)
+            near = touched.inside(target).unionByName(target.filter(F.col(partition).isNull()))
+            asked = batch.select(*[F.col(k).alias(f"_{k}") for k in keys])
+            same = F.lit(True)
+            for k in keys:
+                same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
             # The batch is on the side that can be broadcast; what comes out is no larger than the batch.
-            held = touched.inside(target.select(*keys)).join(batch.select(*keys), keys, "left_semi")
-            fresh = batch.join(held, keys, "left_anti")
-        append(spread(fresh, partition, keys, counts, rows_per_file), path, partition)
+            held = near.join(asked, same, "left_semi").distinct().select(*[F.col(k).alias(f"_{k}") for k in keys])
+            fresh = batch.join(held, same, "left_anti")
+        append(fresh, path, partition, session)
     finally:
         batch.unpersist()
 
 
-def compact(
-    spark: SparkSession,
-    path: str,
-    keys: Sequence[str],
-    partition: str = "dt",
-    values: Sequence | None = None,
-    rows_per_file: int = ROWS_PER_FILE,
-) -> None:
-    """Rewrites the given partitions (default: all) into as few files as ``rows_per_file`` allows."""
-    table = spark.read.parquet(path)
+def compact(spark: SparkSession, path: str, partition: str = "dt", values: Sequence | None = None) -> None:
+    """Rewrites the given partitions (default: all) into files of Spark's advisory size. Columns that only some of
+    the files have stay."""
+    table = read_merged(spark, path)
+    columns = [partition] + ([BUCKET] if BUCKET in table.columns else [])
+    finish_rewrite(spark, path, table.schema, columns)
     if values is not None:
         table = table.filter(F.col(partition).isin(list(values)))
-    counts = rows_per_value(table, partition, MAX_LISTED)
-    overwrite_partitions(spread(table, partition, list(keys), counts, rows_per_file), path, partition)
+    rewrite(table, path, columns)
 
 
 def retain(spark: SparkSession, path: str, cutoff: dt.date, partition: str = "dt") -> list[str]:
@@ -245,9 +311,20 @@ def retain(spark: SparkSession, path: str, cutoff: dt.date, partition: str = "dt
 # --- Change log and as-of reads -----------------------------------------------------------------------
 
 
-def append_change(batch: DataFrame, path: str, batch_id: int) -> None:
-    """Adds a batch to an append-only change log, partitioned by batch id."""
-    batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").partitionBy("batch_id").parquet(path)
+def append_change(batch: DataFrame, path: str, batch_id: int, run: str | None = None) -> None:
+    """Adds a batch to an append-only change log, one folder per batch.
+
+    The folder appears in one step and is never written again, so a repeated batch adds nothing, and a stream that
+    reads the log sees each row once. ``run`` tells apart writers that count their batches from zero.
+    """
+    spark = batch.sparkSession
+    folder = f"run={run}/batch_id={batch_id}" if run else f"batch_id={batch_id}"
+    if files.exists(spark, f"{path}/{folder}"):
+        return
+    pending = f"{path}/_pending/{uuid.uuid4().hex}"
+    batch.write.parquet(pending)
+    if not files.move(spark, pending, f"{path}/{folder}"):
+        files.drop_folder(spark, pending)
 
 
 def as_of(log: DataFrame, keys: Sequence[str], batch_id: int) -> DataFrame:

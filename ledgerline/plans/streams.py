@@ -9,17 +9,21 @@ from pyspark.sql import functions as F
 from ledgerline.operators import scoring
 from ledgerline.operators.enrich import enrich_stream
 from ledgerline.operators.parse import to_bronze, with_event_date
-from ledgerline.operators.tables import append, upsert
+from ledgerline.operators.tables import append, append_change, compact, upsert
 from ledgerline.plans import fixtures, sql
 from ledgerline.plans.registry import query
 from ledgerline.plans.rows import silver_frame
 from ledgerline.plans.tables import read
 from ledgerline.schemas import AUTH_LOGS, STREAMS, SYSTEM_LOGS, TRANSACTIONS
 from ledgerline.session import fresh_dir, streaming_session
-from ledgerline.sources.streams import message_log, table_appends
+from ledgerline.sources.streams import change_log, message_log, table_appends
 from ledgerline.streaming import jobs
 
 
+# Bounds a micro-batch, so that a query takes several of them.
+ONE_FILE = {"maxFilesPerTrigger": "1"}
+
+
 def _log_of(spark, messages):
     """A message log in files, one folder per topic."""
     path = fresh_dir(spark, "log")
@@ -223,7 +227,9 @@ def stream_restart(spark, sf_dir):
     bronze, path, checkpoint = (fresh_dir(spark, label) for label in ("bronze", "silver", "checkpoint"))
     rows = fixtures.raw(spark, sf_dir, stream)
     early = "timestamp < '2024-01-16' OR timestamp = 'not-a-time'"
-    for part in (rows.filter(early), rows.filter(f"NOT ({early})")):
+    # The second half repeats the last hours of the first, which the state must still know.
+    late = f"NOT ({early}) OR timestamp BETWEEN '2024-01-15 23' AND '2024-01-16'"
+    for part in (rows.filter(early), rows.filter(late)):
         append(with_event_date(part), bronze)
         _silver_run(spark, bronze, stream, path, checkpoint)
     return read(spark, path, stream)
@@ -252,9 +258,12 @@ def replay_range(spark, sf_dir):
     return read(spark, path, stream)
 
 
-def _silver_table(spark, sf_dir, stream):
-    path = fresh_dir(spark, "silver")
-    append(silver_frame(spark, sf_dir, stream), path, None)
+def _silver_log(spark, sf_dir, stream):
+    """A change log of silver in two batches, the second of which was repeated."""
+    path, rows = fresh_dir(spark, "changes"), silver_frame(spark, sf_dir, stream)
+    first = F.pmod(F.xxhash64(stream.key), F.lit(2)) == 0
+    for number, batch in ((0, rows.filter(first)), (1, rows.filter(~first)), (1, rows)):
+        append_change(batch, path, number, "fixture")
     return path
 
 
@@ -264,11 +273,29 @@ def _silver_table(spark, sf_dir, stream):
     f"FROM ({sql.silver(AUTH_LOGS)}) WHERE is_suspicious = 1",
 )
 def alerts_suspicious(spark, sf_dir):
-    path = fresh_dir(spark, "alerts")
-    silver = table_appends(streaming_session(spark), AUTH_LOGS.silver, _silver_table(spark, sf_dir, AUTH_LOGS))
-    _drain(jobs.run_alerts, silver, path, fresh_dir(spark, "checkpoint"))
+    """Silver is filled in two runs of its job, the second with copies of rows of the first, corrected by an upsert
+    and compacted; alerts run after each step on one checkpoint and come once per event."""
+    stream = AUTH_LOGS
+    bronze, path, log, alerts = (fresh_dir(spark, label) for label in ("bronze", "silver", "changes", "alerts"))
+    cleaning, alerting = fresh_dir(spark, "checkpoint"), fresh_dir(spark, "checkpoint")
+    rows = with_event_date(fixtures.raw(spark, sf_dir, stream))
+    early = F.coalesce(F.col("dt") < dt.date(2024, 1, 16), F.lit(True))
+    again = F.col("dt").between(dt.date(2024, 1, 14), dt.date(2024, 1, 15))
+    silver = silver_frame(spark, sf_dir, stream)
+
+    def alert():
+        changes = change_log(streaming_session(spark), stream.silver, log)
+        _drain(jobs.run_alerts, changes, alerts, alerting)
+
+    for part in (rows.filter(early), rows.filter(~early | again)):
+        append(part, bronze)
+        _silver_run(spark, bronze, stream, path, cleaning, log_path=log)
+        alert()
+    upsert(silver.filter(F.col("dt") == dt.date(2024, 1, 20)), path, stream.keys)
+    compact(spark, path, values=[dt.date(2024, 1, 21)])
+    alert()
     schema = "event_id STRING, user_id INT, timestamp TIMESTAMP, action STRING, ip_address STRING, dt DATE"
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(alerts)
 
 
 @query(
@@ -278,7 +305,7 @@ def alerts_suspicious(spark, sf_dir):
 )
 def stream_enrich_customer(spark, sf_dir):
     session, path = streaming_session(spark), fresh_dir(spark, "enriched")
-    silver = table_appends(session, AUTH_LOGS.silver, _silver_table(spark, sf_dir, AUTH_LOGS))
+    silver = change_log(session, AUTH_LOGS.silver, _silver_log(spark, sf_dir, AUTH_LOGS), ONE_FILE)
     master = fixtures.table(session, sf_dir, "customer")
     events = silver.select("event_id", "user_id", "dt")
     rows = enrich_stream(events, master, ("user_id", "c_custkey"), ["c_mktsegment", "c_nationkey"], "event_id")
@@ -295,8 +322,8 @@ def stream_enrich_customer(spark, sf_dir):
 def bi_hourly_merchant(spark, sf_dir):
     """Hours whose end the watermark has passed."""
     path = fresh_dir(spark, "bi")
-    silver = table_appends(
-        streaming_session(spark), TRANSACTIONS.silver, _silver_table(spark, sf_dir, TRANSACTIONS)
+    silver = change_log(
+        streaming_session(spark), TRANSACTIONS.silver, _silver_log(spark, sf_dir, TRANSACTIONS)
     )
     _drain(jobs.run_hourly_merchant, silver, path, fresh_dir(spark, "checkpoint"))
     return spark.read.schema("hour TIMESTAMP, merchant STRING, n BIGINT, total DOUBLE").parquet(path)
@@ -310,9 +337,9 @@ def fraud_scores(spark, sf_dir):
     """Boosted trees fitted on silver, then applied to silver as a stream. Here an unreadable place gives the
     fraud away, so the model has to find every label."""
     stream = TRANSACTIONS
-    table, path = _silver_table(spark, sf_dir, stream), fresh_dir(spark, "scores")
-    model = scoring.train_fraud_model(read(spark, table, stream))
-    silver = table_appends(streaming_session(spark), stream.silver, table)
+    log, path = _silver_log(spark, sf_dir, stream), fresh_dir(spark, "scores")
+    model = scoring.train_fraud_model(spark.read.parquet(log))
+    silver = change_log(streaming_session(spark), stream.silver, log, ONE_FILE)
     _drain(jobs.run_scoring, model, silver, path, fresh_dir(spark, "checkpoint"))
     return spark.read.parquet(path).select("transaction_id", F.col("dt").cast("date").alias("dt"), "prediction")
 

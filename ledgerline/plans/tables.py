@@ -200,7 +200,7 @@ def _fragmented(spark, sf_dir, stream):
 @query("compact_same_rows", sql.shown(sql.silver(AUTH_LOGS)))
 def compact_same_rows(spark, sf_dir):
     path = _fragmented(spark, sf_dir, AUTH_LOGS)
-    T.compact(spark, path, AUTH_LOGS.keys)
+    T.compact(spark, path)
     return read(spark, path, AUTH_LOGS)
 
 
@@ -241,3 +241,22 @@ def schema_evolution_add(spark, sf_dir):
     rows.filter(early).drop("component").write.mode("append").parquet(path)
     rows.filter(~early).write.mode("append").parquet(path)
     return T.read_merged(spark, path)
+
+
+@query(
+    "compact_evolved",
+    "SELECT log_id, severity, message, CAST(CAST(\"timestamp\" AS DATE) AS VARCHAR) AS dt, "
+    "CASE WHEN severity NOT IN ('INFO', 'DEBUG') THEN component END AS component "
+    f"FROM ({fixtures.raw_sql(SYSTEM_LOGS)})",
+)
+def compact_evolved(spark, sf_dir):
+    """A table that gained a column keeps it through an upsert that changes nothing and through compaction."""
+    path = fresh_dir(spark, "evolving")
+    rows = with_event_date(fixtures.raw(spark, sf_dir, SYSTEM_LOGS))
+    rows = rows.select("log_id", "severity", "message", "component", "dt")
+    early = F.col("severity").isin("INFO", "DEBUG")
+    T.upsert(rows.filter(early).drop("component"), path, SYSTEM_LOGS.keys)
+    T.upsert(rows.filter(~early), path, SYSTEM_LOGS.keys, widen=True)
+    T.upsert(rows.filter(~early & F.col("log_id").endswith("7")), path, SYSTEM_LOGS.keys)
+    T.compact(spark, path)
+    return spark.read.parquet(path)

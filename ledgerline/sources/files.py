@@ -32,3 +32,18 @@ def partition_values(spark: SparkSession, path: str, column: str) -> dict[str, s
 def drop_folder(spark: SparkSession, path: str) -> None:
     fs, folder = _resolve(spark, path)
     fs.delete(folder, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _resolve(spark, path)
+    return fs.exists(target)
+
+
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Renames a folder, one step on file systems that can; false if the target is there already."""
+    fs, old = _resolve(spark, source)
+    _, new = _resolve(spark, target)
+    if fs.exists(new):
+        return False
+    fs.mkdirs(new.getParent())
+    return fs.rename(old, new)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 ENVELOPE = "topic STRING, value BINARY"
 
@@ -37,3 +37,12 @@ def table_appends(
 ) -> DataFrame:
     """Files added to a parquet table, as a stream."""
     return spark.readStream.schema(schema).options(**(options or {})).parquet(path)
+
+
+def change_log(
+    spark: SparkSession, schema: StructType, path: str, options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Rows as a job logged them, once each: the log's folders are never rewritten. The log may not exist yet when
+    the stream starts only if its folder does."""
+    logged = StructType([*schema.fields, StructField("run", StringType()), StructField("batch_id", LongType())])
+    return table_appends(spark, logged, path, options).select(*schema.names)

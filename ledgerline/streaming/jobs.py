@@ -7,6 +7,7 @@ Every job takes a checkpoint folder. Sinks are append-only: native parquet files
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark import StorageLevel
@@ -21,7 +22,7 @@ from ledgerline.operators import dedup, scoring
 from ledgerline.operators.clean import clean
 from ledgerline.operators.parse import dead_letters, to_bronze
 from ledgerline.operators.risk import suspicious
-from ledgerline.operators.tables import UpsertResult, insert_new, overwrite_partitions, upsert
+from ledgerline.operators.tables import UpsertResult, append_change, insert_new, overwrite_partitions, upsert
 from ledgerline.schemas import EventStream
 
 Trigger = Mapping[str, object]
@@ -94,18 +95,32 @@ def silver_rows(
 
 
 def _upsert_batch(
-    session: SparkSession, stream: EventStream, path: str, undated_path: str | None
+    session: SparkSession,
+    stream: EventStream,
+    path: str,
+    checkpoint: str,
+    undated_path: str | None,
+    log_path: str | None,
+    buckets: int,
 ) -> Callable[[DataFrame, int], None]:
+    # Batches are counted from zero under each checkpoint.
+    run = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+
+    def logged(batch: DataFrame, batch_id: int) -> None:
+        if log_path is not None and not batch.isEmpty():
+            append_change(batch, log_path, batch_id, run)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         if undated_path is None:
-            upsert(batch, path, stream.keys, check=batch_id == 0, session=session)
+            upsert(batch, path, stream.keys, buckets=buckets, session=session)
+            logged(batch, batch_id)
             return
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             undated = batch.filter(F.col("dt").isNull()).drop("dt").withColumn("batch_id", F.lit(batch_id))
-            overwrite_partitions(undated, undated_path, "batch_id")
-            dated = batch.filter(F.col("dt").isNotNull())
-            upsert(dated, path, stream.keys, check=batch_id == 0, session=session)
+            overwrite_partitions(undated, f"{undated_path}/run={run}", "batch_id")
+            upsert(batch.filter(F.col("dt").isNotNull()), path, stream.keys, buckets=buckets, session=session)
+            logged(batch, batch_id)
         finally:
             batch.unpersist()
 
@@ -122,6 +137,8 @@ def run_silver(
     bounded: bool = False,
     salts: int = 0,
     undated_path: str | None = None,
+    log_path: str | None = None,
+    buckets: int = 1,
     name: str | None = None,
 ) -> StreamingQuery:
     """Bronze appends into the silver table: the first arrival of a key is written; a replay under a new
@@ -129,11 +146,15 @@ def run_silver(
 
     ``bounded`` lets dedup state expire with the watermark (copies further apart are then written again, over the
     earlier ones). ``salts`` spreads hot keys. Rows without a readable time never match a key, so a replay adds
-    them again; with ``undated_path`` they go to that folder instead, one sub-folder per micro-batch, so that a
-    repeated micro-batch replaces its own rows (use one such folder per checkpoint).
+    them again; with ``undated_path`` they go to that folder instead, one sub-folder per checkpoint and micro-batch,
+    so that a repeated micro-batch replaces its own rows.
+
+    ``log_path`` is an append-only log of the accepted rows, one folder per micro-batch. Streams over silver read
+    it (:func:`~ledgerline.sources.streams.change_log`): the table's own files are replaced by upserts and
+    compaction, and a stream of them would see rows again. ``buckets`` divides each date of the table.
     """
     rows = silver_rows(bronze, stream, watermark, bounded, salts)
-    writer = rows.writeStream.foreachBatch(_upsert_batch(bronze.sparkSession, stream, path, undated_path))
+    writer = rows.writeStream.foreachBatch(_upsert_batch(bronze.sparkSession, stream, path, checkpoint, undated_path, log_path, buckets))
     return _start(writer, name, checkpoint, trigger)
 
 
@@ -157,18 +178,21 @@ def run_silver_stateless(
 def run_alerts(
     silver_auth: DataFrame, path: str, checkpoint: str, trigger: Trigger = AS_FAST_AS_POSSIBLE
 ) -> StreamingQuery:
-    """Suspicious login events, as they arrive."""
+    """Suspicious login events, as they arrive, out of the change log of silver."""
     return to_files(suspicious(silver_auth), path, checkpoint, trigger)
 
 
+def alert_messages(silver_auth: DataFrame) -> DataFrame:
+    """The same alerts as ``(key, value)`` messages: event id and JSON."""
+    return suspicious(silver_auth).select(F.col("event_id").alias("key"), F.to_json(F.struct("*")).alias("value"))
+
+
 def run_alerts_to_kafka(
     silver_auth: DataFrame, servers: str, topic: str, checkpoint: str, trigger: Trigger = AS_FAST_AS_POSSIBLE
 ) -> StreamingQuery:
-    """The same alerts as JSON messages (needs Spark's Kafka connector on the classpath)."""
-    messages = suspicious(silver_auth).select(
-        F.col("event_id").alias("key"), F.to_json(F.struct("*")).alias("value")
-    )
-    writer = messages.writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic)
+    """Alerts as messages (needs Spark's Kafka connector on the classpath)."""
+    writer = alert_messages(silver_auth).writeStream.format("kafka")
+    writer = writer.option("kafka.bootstrap.servers", servers).option("topic", topic)
     return _start(writer, None, checkpoint, trigger)
 
 

@@ -84,15 +84,48 @@ def test_quality_report(spark):
     ]
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_enrich_both_ways(spark, monkeypatch, limit):
-    """With the master table broadcast, and with it salted."""
-    monkeypatch.setattr(E, "MAX_LISTED", limit)
+@pytest.mark.parametrize("salts", [1, 4])
+def test_enrich_both_ways(spark, salts):
+    """As planned by size, and salted."""
     events = spark.createDataFrame([(f"e{i}", 1 if i % 2 else i) for i in range(40)], "id STRING, user INT")
     master = spark.createDataFrame([(i, f"s{i}") for i in range(0, 20)], "key INT, segment STRING")
     expected = {(f"e{i}", f"s{u}" if u < 20 else None) for i in range(40) for u in [1 if i % 2 else i]}
     for rows in (
-        E.enrich_stream(events, master, ("user", "key"), ["segment"], "id", salts=4),
+        E.enrich_stream(events, master, ("user", "key"), ["segment"], "id", salts=salts),
         E.enrich(events, master, [("user", "key")], ["segment"]),
     ):
         assert {(r.id, r.segment) for r in rows.collect()} == expected and rows.count() == 40
+
+
+@pytest.mark.parametrize("amount", [float("nan"), float("inf"), float("-inf"), 1e17, None])
+def test_odd_amounts(spark, amount):
+    """No amount ends a job; what is no number is left out of sums."""
+    from ledgerline.functions.columns import exact_sum
+    from ledgerline.streaming.jobs import hourly_merchant
+
+    rows = spark.createDataFrame(
+        [("a", amount, dt.datetime(2024, 1, 1), "m"), ("b", 2.5, dt.datetime(2024, 1, 1), "m")],
+        "id STRING, amount DOUBLE, timestamp TIMESTAMP, merchant STRING",
+    )
+    want = 1e17 + 2.5 if amount == 1e17 else 2.5
+    assert rows.agg(exact_sum(F.col("amount"))).first()[0] == pytest.approx(want)
+    assert hourly_merchant(rows).first().total == pytest.approx(want)
+
+
+def test_scoring_and_auc_with_odd_numbers(spark):
+    odd = [float("nan"), float("inf"), None]
+    rows = [(f"t{i}", float(i), i % 2) for i in range(60)] + [(f"o{i}", a, 1) for i, a in enumerate(odd[:1] + odd[2:])]
+    silver = spark.createDataFrame(rows, "transaction_id STRING, amount DOUBLE, is_fraud INT").withColumns(
+        {
+            "timestamp": F.lit(dt.datetime(2024, 1, 1)),
+            "dt": F.lit(dt.date(2024, 1, 1)),
+            "geo_lat": F.lit(1.0),
+            "geo_lon": F.lit(1.0),
+        }
+    )
+    model = scoring.train_fraud_model(silver, iterations=1)
+    assert scoring.score(model, silver).count() == len(rows)
+    scored = spark.createDataFrame([(0.1, 0), (0.2, 1), (0.2, 0), (0.3, 1), (float("nan"), 1), (None, 0)], "s DOUBLE, y INT")
+    for per_range in (1, 2, 100):
+        got = scoring.exact_auc(scored, "s", "y", per_range).first()
+        assert (got.positives, got.negatives, got.auc) == (2, 2, 0.875)

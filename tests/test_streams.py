@@ -13,7 +13,7 @@ from ledgerline.operators.dedup import one_per_key
 from ledgerline.operators.parse import to_bronze, with_event_date
 from ledgerline.plans import fixtures
 from ledgerline.schemas import AUTH_LOGS, STREAMS, SYSTEM_LOGS
-from ledgerline.sources.streams import kafka_options, message_log, table_appends
+from ledgerline.sources.streams import change_log, kafka_options, message_log, table_appends
 from ledgerline.streaming import jobs
 from tests.conftest import SF_DIR
 
@@ -121,11 +121,12 @@ def test_undated_rows_can_be_diverted(spark, folder):
 def test_repeated_micro_batch(spark, folder):
     """What Spark does after a crash between the sink and the commit log."""
     path, undated = folder("silver"), folder("undated")
-    write = jobs._upsert_batch(spark, SYSTEM_LOGS, path, undated)
+    write = jobs._upsert_batch(spark, SYSTEM_LOGS, path, "checkpoint", undated, folder("log"), 1)
     batch = clean(log_rows(spark, ("a", "2024-01-01 10:00:00", "m"), ("b", None, "m")), SYSTEM_LOGS)
     for _ in range(2):
         write(batch, 7)
     assert ids(spark, path) == ["a"] and spark.read.parquet(undated).count() == 1
+    assert spark.read.parquet(folder("log")).count() == 2
 
 
 @pytest.mark.parametrize("stream", STREAMS.values(), ids=STREAMS)
@@ -181,3 +182,26 @@ def test_hourly_windows_wait_for_the_watermark(spark, folder):
     jobs.run_hourly_merchant(source, folder("out"), folder("ck"), jobs.ALL_AVAILABLE).awaitTermination()
     got = sorted((r.hour.hour, r.n, r.total) for r in spark.read.parquet(folder("out")).collect())
     assert got == [(1, 2, 2.5), (2, 1, 1.25)]
+
+
+def test_alert_messages(spark):
+    columns = "event_id STRING, user_id INT, timestamp TIMESTAMP, action STRING, ip_address STRING, dt DATE, is_suspicious INT"
+    rows = spark.createDataFrame([("e1", 1, None, "login", "1.1.1.1", None, 1), ("e2", 1, None, "login", None, None, 0)], columns)
+    out = jobs.alert_messages(rows)
+    assert out.dtypes == [("key", "string"), ("value", "string")]
+    assert [r.key for r in out.collect()] == ["e1"] and '"action":"login"' in out.first().value
+
+
+def test_consumers_of_silver_see_each_row_once(spark, folder):
+    """Upserts and compaction replace the table's files; the change log only grows."""
+    bronze, path, log = folder("bronze"), folder("silver"), folder("log")
+    seen = folder("seen")
+    for n in (1, 2):
+        T.append(log_rows(spark, *[(f"e{n}{i}", f"2024-01-0{n} 10:00:00", "m") for i in range(3)], ("e10", "2024-01-01 10:00:00", "again")), bronze, None)
+        source = table_appends(S.streaming_session(spark, 4), SYSTEM_LOGS.bronze, bronze)
+        jobs.run_silver(source, SYSTEM_LOGS, path, folder("ck"), jobs.ALL_AVAILABLE, log_path=log).awaitTermination()
+        T.compact(spark, path)
+        T.upsert(spark.read.schema(SYSTEM_LOGS.silver).parquet(path).limit(2), path, SYSTEM_LOGS.keys)
+        changes = change_log(S.streaming_session(spark, 4), SYSTEM_LOGS.silver, log)
+        jobs.to_files(changes, seen, folder("ck2"), jobs.ALL_AVAILABLE, None).awaitTermination()
+    assert sorted(r.log_id for r in spark.read.parquet(seen).collect()) == ["e10", "e11", "e12", "e20", "e21", "e22"]

@@ -3,6 +3,7 @@
 import datetime as dt
 import glob
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,16 +30,7 @@ def data_files(path):
     return set(glob.glob(os.path.join(path, "**", "*.parquet"), recursive=True))
 
 
-@pytest.fixture(params=["listed", "joined"])
-def bound(request, monkeypatch):
-    """Once with partition values as lists, once with too many for that."""
-    if request.param == "joined":
-        original = layout.rows_per_value
-        monkeypatch.setattr(T, "rows_per_value", lambda df, column, limit=0: original(df, column, 0))
-    return request.param
-
-
-def test_upsert_update_insert_untouched_and_null_dates(spark, folder, bound):
+def test_upsert_update_insert_untouched_and_null_dates(spark, folder):
     path = folder("t")
     T.upsert(frame(spark, ("a", 1, D1), ("b", 1, D1), ("c", 1, D2), ("n", 1, None)), path, KEYS)
     untouched = {f for f in data_files(path) if f"dt={D2}" in f}
@@ -49,7 +41,7 @@ def test_upsert_update_insert_untouched_and_null_dates(spark, folder, bound):
     assert untouched <= data_files(path)
 
 
-def test_upsert_twice_changes_nothing(spark, folder, bound):
+def test_upsert_twice_changes_nothing(spark, folder):
     path = folder("t")
     T.upsert(frame(spark, ("a", 1, D1), ("b", 1, D2)), path, KEYS)
     batch = frame(spark, ("a", 2, D1), ("c", 2, D3))
@@ -94,7 +86,7 @@ def test_upsert_refuses_other_columns(spark, folder):
         T.upsert(frame(spark, ("a", 1, D1)).drop("v"), path, KEYS)
 
 
-def test_insert_new_keeps_the_first(spark, folder, bound):
+def test_insert_new_keeps_the_first(spark, folder):
     path = folder("t")
     T.insert_new(frame(spark, ("a", 1, D1)), path, KEYS)
     T.insert_new(frame(spark, ("a", 2, D1), ("a", 2, D2)), path, KEYS)
@@ -104,27 +96,77 @@ def test_insert_new_keeps_the_first(spark, folder, bound):
 def test_upsert_reads_keys_of_touched_partitions_only(spark, folder):
     path = folder("t")
     T.upsert(frame(spark, ("a", 1, D1), ("b", 1, D2)), path, KEYS)
-    touched, _ = T.Partitions.of(frame(spark, ("a", 2, D1)), "dt")
+    touched = T.Partitions.of(frame(spark, ("a", 2, D1)), "dt")
     target = spark.read.schema(SCHEMA).parquet(path)
     plan = touched.inside(target.select(*KEYS))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<id:string>" in plan
     assert "PartitionFilters: [isnotnull(dt" in plan
 
 
-def test_hot_partition_is_split(spark):
-    rows = spark.range(9000).select(
-        F.col("id").cast("string").alias("id"),
-        F.lit(1).alias("v"),
-        F.when(F.col("id") % 3 > 0, F.lit(D1)).otherwise(F.lit(D2)).alias("dt"),
-    )
-    counts = layout.rows_per_value(rows, "dt")
-    assert counts == {D1: 6000, D2: 3000}
-    for known in (counts, None):
-        out = layout.spread(rows, "dt", ["id"], known, rows_per_file=1000)
-        sizes = out.groupBy(F.spark_partition_id(), "dt").count().collect()
-        assert out.count() == 9000 and out.columns == rows.columns
-        assert sum(r["dt"] == D1 for r in sizes) >= 4
-        assert max(r["count"] for r in sizes) <= 3000
+@pytest.mark.parametrize("dates", [2, 12_000])
+def test_layout_is_planned_alike_at_every_size(spark, dates):
+    rows = spark.range(24_000).select(F.col("id"), F.expr(f"date_add(DATE'1990-01-01', int(id % {dates}))").alias("dt"))
+    out = layout.gathered(rows, ["dt"])
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Exchange") == 1 and "REBALANCE" in plan
+    assert out.count() == 24_000 and out.columns == rows.columns
+
+
+def test_a_hot_partition_is_split_by_bytes(spark, folder):
+    rows = spark.range(60_000).select(F.sha2(F.col("id").cast("string"), 256).alias("id"), F.col("id").alias("v"), F.expr("date_add(DATE'2024-01-01', int(id div 50000))").alias("dt"))
+    session = spark.newSession()
+    session.conf.set("spark.sql.adaptive.enabled", "true")
+    session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    T.append(rows, folder("t"), "dt", session)
+    assert sum("dt=2024-01-01" in f for f in data_files(folder("t"))) > 2
+
+
+def test_many_partitions_are_upserted(spark, folder):
+    path = folder("t")
+    rows = spark.range(300).select(F.col("id").cast("string"), F.lit(1).alias("v"), F.expr("date_add(DATE'1990-01-01', int(id))").alias("dt"))
+    T.upsert(rows, path, KEYS)
+    assert T.upsert(rows.filter("v = 1 AND id < 5").withColumn("v", F.lit(2)), path, KEYS).matched
+    assert len(data_files(path)) == 300 and len(content(spark, path)) == 300
+
+
+def test_a_match_rewrites_one_bucket(spark, folder):
+    path = folder("t")
+    T.upsert(frame(spark, *[(f"k{i}", 1, D1) for i in range(40)]), path, KEYS, buckets=4)
+    before = data_files(path)
+    assert len(before) == 4
+    T.upsert(frame(spark, ("k7", 2, D1)), path, KEYS, buckets=4)
+    assert len(before & data_files(path)) == 3 and len(data_files(path)) == 4
+    assert dict((i, v) for i, v, _ in content(spark, path))["k7"] == 2 and len(content(spark, path)) == 40
+
+
+def test_a_rewrite_that_died_is_finished(spark, folder):
+    path = folder("t")
+    T.upsert(frame(spark, ("a", 1, D1), ("b", 1, D1), ("c", 1, D2)), path, KEYS)
+    # The staged copy is complete and the old folder is gone already.
+    frame(spark, ("a", 2, D1), ("b", 1, D1)).write.partitionBy("dt").parquet(f"{path}/{T.STAGED}")
+    shutil.rmtree(f"{path}/dt={D1}")
+    assert len(content(spark, path)) == 1
+    T.upsert(frame(spark, ("a", 2, D1)), path, KEYS)
+    assert content(spark, path) == [("a", 2, D1), ("b", 1, D1), ("c", 1, D2)]
+    # An incomplete one is dropped.
+    frame(spark, ("a", 9, D1)).write.partitionBy("dt").parquet(f"{path}/{T.STAGED}")
+    os.remove(f"{path}/{T.STAGED}/_SUCCESS")
+    T.upsert(frame(spark, ("d", 1, D2)), path, KEYS)
+    assert ("a", 2, D1) in content(spark, path) and not os.path.exists(f"{path}/{T.STAGED}")
+
+
+def test_a_column_of_some_files_stays(spark, folder):
+    path = folder("t")
+    T.upsert(frame(spark, ("a", 1, D1)), path, KEYS)
+    wide = frame(spark, ("b", 1, D1)).withColumn("w", F.lit("x"))
+    with pytest.raises(ValueError, match="w"):
+        T.upsert(wide, path, KEYS)
+    T.upsert(wide, path, KEYS, widen=True)
+    with pytest.raises(ValueError, match="w"):
+        T.upsert(frame(spark, ("a", 2, D1)), path, KEYS)
+    T.upsert(frame(spark, ("a", 2, D1)).withColumn("w", F.lit("y")), path, KEYS)
+    T.compact(spark, path)
+    assert sorted((r.id, r.v, r.w) for r in spark.read.parquet(path).collect()) == [("a", 2, "y"), ("b", 1, "x")]
 
 
 def test_compaction_keeps_rows_and_merges_files(spark, folder):
@@ -132,9 +174,9 @@ def test_compaction_keeps_rows_and_merges_files(spark, folder):
     for i in range(5):
         T.append(frame(spark, (f"a{i}", i, D1), (f"b{i}", i, D2), (f"n{i}", i, None)), path)
     before, many = content(spark, path), len(data_files(path))
-    T.compact(spark, path, KEYS, values=[D1])
+    T.compact(spark, path, values=[D1])
     assert sum(f"dt={D1}" in f for f in data_files(path)) == 1
-    T.compact(spark, path, KEYS)
+    T.compact(spark, path)
     assert content(spark, path) == before and len(data_files(path)) == 3 < many
 
 
@@ -171,6 +213,31 @@ def test_replace(spark, folder):
     assert [r.id for r in spark.table("ns_c.t").collect()] == ["b"]
 
 
+def test_a_failing_replace_leaves_the_table(spark, folder):
+    T.create_namespaces(spark, folder("db"), ["ns_e"])
+    T.replace_table(frame(spark, ("a", 1, D1)), "ns_e.t")
+    broken = frame(spark, ("b", 1, D1)).withColumn("v", F.raise_error(F.lit("boom")).cast("int"))
+    with pytest.raises(Exception, match="boom"):
+        T.replace_table(broken, "ns_e.t")
+    assert [r.id for r in spark.table("ns_e.t").collect()] == ["a"] and len(spark.catalog.listTables("ns_e")) == 1
+    T.replace_table(spark.table("ns_e.t").withColumn("v", F.col("v") + 1), "ns_e.t")
+    assert [tuple(r)[:2] for r in spark.table("ns_e.t").collect()] == [("a", 2)]
+
+
+def test_a_repeated_change_adds_nothing(spark, folder):
+    path = folder("log")
+    for _ in range(2):
+        T.append_change(frame(spark, ("a", 1, D1)), path, 3, "r")
+    assert [(r.id, r.batch_id, r.run) for r in spark.read.parquet(path).collect()] == [("a", 3, "r")]
+
+
+def test_insert_new_holds_undated_rows_once(spark, folder):
+    path = folder("t")
+    for _ in range(2):
+        T.insert_new(frame(spark, ("a", 1, None), ("b", 1, D1)), path, KEYS)
+    assert content(spark, path) == sorted([("a", 1, None), ("b", 1, D1)], key=str)
+
+
 def test_as_of(spark, folder):
     path = folder("log")
     T.append_change(frame(spark, ("a", 1, D1), ("n", 1, None)), path, 1)
