@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -48,3 +49,30 @@ def quality_report(df: DataFrame, expected: StructType, required: Sequence[str],
     """Schema, NULLs in required columns and repeated keys. Only counts reach the driver."""
     nulls = {r["column_name"]: r["nulls"] for r in null_counts(df.select(*required)).collect()}
     return QualityReport(schema_differences(df, expected), nulls, duplicate_keys(df, keys).count())
+
+
+class Refused(ValueError):
+    """A batch did not pass the checks; ``report`` says why."""
+
+    def __init__(self, report: QualityReport):
+        super().__init__(f"refused: {report}")
+        self.report = report
+
+
+def checked_write(
+    df: DataFrame, write: Callable[[DataFrame], object], expected: StructType, required: Sequence[str], keys: Sequence[str]
+) -> QualityReport:
+    """Passes ``df`` on to ``write`` if it conforms to the schema, has no NULL in a required column and no repeated
+    key; raises :class:`Refused` otherwise, with nothing written. The rows are computed once for checks and write."""
+    differences = schema_differences(df, expected)
+    if differences:
+        raise Refused(QualityReport(differences, {}, 0))
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        report = quality_report(df, expected, required, keys)
+        if not report.passed:
+            raise Refused(report)
+        write(df)
+        return report
+    finally:
+        df.unpersist()

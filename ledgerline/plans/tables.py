@@ -11,6 +11,7 @@ from ledgerline.operators import tables as T
 from ledgerline.operators.clean import clean
 from ledgerline.operators.dedup import one_per_key
 from ledgerline.operators.parse import with_event_date
+from ledgerline.operators.quality import Refused, checked_write
 from ledgerline.plans import fixtures, sql
 from ledgerline.plans.registry import query
 from ledgerline.plans.rows import RUN_DATE, silver_frame
@@ -260,3 +261,30 @@ def compact_evolved(spark, sf_dir):
     T.upsert(rows.filter(~early & F.col("log_id").endswith("7")), path, SYSTEM_LOGS.keys)
     T.compact(spark, path)
     return spark.read.parquet(path)
+
+
+@query(
+    "gated_upsert",
+    _final(SYSTEM_LOGS)
+    + " UNION ALL BY NAME SELECT 'refused: ' || count(*) AS log_id FROM ("
+    + f"SELECT * FROM ({fixtures.raw_sql(SYSTEM_LOGS)}) WHERE message IS NULL)",
+)
+def gated_upsert(spark, sf_dir):
+    """Silver batches pass the checks and are written; the raw rows, some of them without a message, are refused
+    as a whole and only their count is reported."""
+    stream = SYSTEM_LOGS
+    path = fresh_dir(spark, "silver")
+
+    def write(rows):
+        T.upsert(rows, path, stream.keys)
+
+    for batch in silver_batches(spark, sf_dir, stream):
+        checked_write(batch, write, batch.schema, ["log_id", "component"], stream.keys)
+    raw = with_event_date(fixtures.raw(spark, sf_dir, stream)).select("log_id", "message", "dt")
+    try:
+        checked_write(raw, write, raw.schema, ["message"], stream.keys)
+        refused = 0
+    except Refused as error:
+        refused = error.report.nulls["message"]
+    note = spark.range(1).select(F.lit(f"refused: {refused}").alias("log_id"))
+    return read(spark, path, stream).unionByName(note, allowMissingColumns=True)
