@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import scan
+from ledgerline.llm.bytepair import ragged
 from ledgerline.llm.common import by_bytes, table, tasks
 from ledgerline.llm.word_counts import _pack, _unpack
 
@@ -42,7 +43,7 @@ REACH = SIZE - GRAM
 SPAN = REACH + SIZE
 #: One document in so many gives the splitters.
 SPLITTER_SHARE = 64
-BATCH = 4 * scan.BLOCK
+BATCH = scan.BLOCK // 2
 
 
 def _slide(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -61,8 +62,9 @@ def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if n < SIZE:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     sums = scan.prefix(data)
-    start = np.arange(n - GRAM + 1)
-    grams = scan.stretch(sums, start, start + GRAM)
+    grams = sums[GRAM:] - sums[:-GRAM]
+    grams *= scan._powers(scan._INVERSE, len(grams))
+    grams = scan.mixed(grams)
     least = _slide(grams, REACH + 1, np.minimum)
     whole = np.zeros(len(least), dtype=bool)
     size = np.diff(at) - 1
@@ -124,7 +126,7 @@ def _batches(frames: Iterator[pd.DataFrame]):
 
 
 def _asked(rows: DataFrame, parts: int) -> DataFrame:
-    """(part, blob): the anchors' hashes of a batch, with their documents."""
+    """(part, batch, blob): the anchors' hashes of a batch, with their documents."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame, data, at in _batches(frames):
@@ -137,50 +139,79 @@ def _asked(rows: DataFrame, parts: int) -> DataFrame:
             part, rest, doc = part[new], rest[new], doc[new]
             cuts = np.searchsorted(part, np.arange(parts + 1))
             ids, marks = frame["doc"].to_numpy(np.int64), frame["mark"].to_numpy(np.int64)
-            out = []
+            batch, out = _name(ids, marks), []
             for p in np.unique(part):
                 own = slice(cuts[p], cuts[p + 1])
                 local, short = np.unique(doc[own], return_inverse=True)
                 steps = np.diff(rest[own], prepend=np.uint64(0))
-                out.append((p, _pack(steps, short.astype(np.uint32), ids[local], marks[local])))
-            yield pd.DataFrame(out, columns=["part", "blob"])
+                out.append((p, batch, _pack(steps, short.astype(np.uint32), ids[local], marks[local])))
+            yield pd.DataFrame(out, columns=["part", "batch", "blob"])
+
+    return rows.mapInPandas(run, "part int, batch long, blob binary")
+
+
+def _name(ids: np.ndarray, marks: np.ndarray) -> int:
+    """A name for a batch of documents."""
+    digest = hashlib.blake2b(ids.tobytes() + marks.tobytes(), digest_size=8).digest()
+    return int(np.frombuffer(digest, dtype=np.int64)[0])
+
+
+def _reply(ids: np.ndarray, marks: np.ndarray, doc: np.ndarray, values: np.ndarray) -> bytes:
+    """What is to be told to the documents (places in ``ids``), by document; ``values`` has a row for each."""
+    order = np.argsort(doc, kind="stable")
+    which, size = np.unique(doc[order], return_counts=True)
+    return _pack(ids[which], marks[which], size.astype(np.int64), values[order].ravel())
+
 
-    return rows.mapInPandas(run, "part int, blob binary")
+def _per_document(replies: DataFrame, parts: int, wide: int) -> DataFrame:
+    """(doc, mark, kind, held): all replies to a document in one row; ``wide`` numbers make one of them."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        batches: dict[int, list[bytes]] = {}
+        for frame in frames:
+            for batch, blob in zip(frame["batch"].tolist(), frame["blob"]):
+                batches.setdefault(batch, []).append(blob)
+        for batch in sorted(batches):
+            ids, marks, size, values = (np.concatenate(x) for x in zip(*map(_unpack, batches[batch])))
+            order = np.lexsort((marks, ids))
+            values = values.reshape(-1, wide)[ragged((np.cumsum(size) - size)[order], size[order])]
+            ids, marks, size = ids[order], marks[order], size[order]
+            first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1]))[: len(ids)])
+            total = np.cumsum(size)
+            ends = total[np.append(first[1:], len(ids)) - 1] if len(ids) else total
+            held = [values[a:b].tobytes() for a, b in zip(np.append(0, ends[:-1]), ends)]
+            yield pd.DataFrame({"doc": ids[first], "mark": marks[first], "kind": 1, "held": held})
+
+    return replies.repartition(parts, "batch").mapInPandas(run, "doc long, mark long, kind int, held binary")
 
 
 def _shared(asked: DataFrame, parts: int) -> DataFrame:
-    """(doc, mark, grams): the hashes of a document that another text has too."""
+    """(batch, blob): for each request the hashes that another text has too, by document."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [(p, b) for frame in frames for p, b in zip(frame["part"], frame["blob"])]
-        for p in sorted({p for p, _ in rows}):
-            blobs = [_unpack(b) for q, b in rows if q == p]
-            rest = [np.cumsum(b[0], dtype=np.uint64) for b in blobs]
+        rows = [r for frame in frames for r in zip(frame["part"], frame["batch"], frame["blob"])]
+        for p in sorted({r[0] for r in rows}):
+            blobs = [(batch, _unpack(b)) for q, batch, b in rows if q == p]
+            rest = [np.cumsum(b[0], dtype=np.uint64) for _, b in blobs]
             every, back = np.unique(np.concatenate(rest), return_inverse=True)
-            marks = np.concatenate([b[3][b[1]] for b in blobs])
+            marks = np.concatenate([b[3][b[1]] for _, b in blobs])
             low, high = np.full(len(every), 2**63 - 1, dtype=np.int64), np.full(len(every), -(2**63), dtype=np.int64)
             np.minimum.at(low, back, marks)
             np.maximum.at(high, back, marks)
-            many, done = low < high, 0
-            for own, (_, short, ids, own_marks) in zip(rest, blobs):
+            many, done, out = low < high, 0, []
+            for own, (batch, (_, short, ids, own_marks)) in zip(rest, blobs):
                 hit = many[back[done : done + len(own)]]
                 done += len(own)
-                doc, gram = short[hit], own[hit] * np.uint64(parts) + np.uint64(p)
-                order = np.argsort(doc, kind="stable")
-                doc, gram = doc[order], gram[order]
-                cuts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else doc
-                ends = np.append(cuts[1:], len(doc))
-                which = doc[cuts]
-                yield pd.DataFrame(
-                    {"doc": ids[which], "mark": own_marks[which], "grams": [gram[a:b].tobytes() for a, b in zip(cuts, ends)]}
-                )
+                if hit.any():
+                    out.append((batch, _reply(ids, own_marks, short[hit], own[hit] * np.uint64(parts) + np.uint64(p))))
+            yield pd.DataFrame(out, columns=["batch", "blob"])
 
-    return asked.repartition(parts, "part").mapInPandas(run, "doc long, mark long, grams binary")
+    return asked.repartition(parts, "part").mapInPandas(run, "batch long, blob binary")
 
 
 def _texts(rows: DataFrame) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        press = zstandard.ZstdCompressor(level=3)
+        press = zstandard.ZstdCompressor(level=6)
         for frame in frames:
             packed = [press.compress(t) for t in scan.encoded(frame["text"])]
             yield pd.DataFrame({"doc": frame["doc"], "mark": frame["mark"], "kind": 2, "held": packed})
@@ -195,8 +226,8 @@ def _met(answers: DataFrame, rows: DataFrame, heads: DataFrame, parts: int) -> D
     return both.repartition(parts, "doc", "mark").sortWithinPartitions("doc", "mark", "kind")
 
 
-def _documents(frames: Iterator[pd.DataFrame]) -> Iterator[list[tuple[int, bool, list[bytes], bytes]]]:
-    """Batches of (doc, whether it is the first of its text, answers, text)."""
+def _documents(frames: Iterator[pd.DataFrame]) -> Iterator[list[tuple[int, bool, list[bytes], bytes, int]]]:
+    """Batches of (doc, whether it is the first of its text, answers, text, mark)."""
     grow = zstandard.ZstdDecompressor()
     now, head, answers, out, held = None, False, [], [], 0
     for frame in frames:
@@ -209,7 +240,7 @@ def _documents(frames: Iterator[pd.DataFrame]) -> Iterator[list[tuple[int, bool,
                 answers.append(value)
             else:
                 text = grow.decompress(value)
-                out.append((doc, head, answers, text))
+                out.append((doc, head, answers, text, mark))
                 held += len(text)
                 if held > BATCH:
                     yield out
@@ -219,7 +250,7 @@ def _documents(frames: Iterator[pd.DataFrame]) -> Iterator[list[tuple[int, bool,
 
 
 def _sent(met: DataFrame, splitters: np.ndarray) -> DataFrame:
-    """(bucket, blob): suffixes at shared anchors of the first of equal texts."""
+    """(bucket, batch, blob): suffixes at shared anchors of the first of equal texts."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for docs in _documents(frames):
@@ -241,17 +272,18 @@ def _sent(met: DataFrame, splitters: np.ndarray) -> DataFrame:
             name, edges, held, doc = name[one], edges[one], held[one], doc[one]
             lead = np.ascontiguousarray(held[:, REACH : REACH + 8]).view(">u8").ravel().astype(np.uint64)
             bucket = np.searchsorted(splitters, lead, side="right")
-            ids = np.array([d[0] for d in docs], dtype=np.int64)
-            out = []
+            ids, marks = (np.array([d[i] for d in docs], dtype=np.int64) for i in (0, 4))
+            batch, out = _name(ids, marks), []
             for b in np.unique(bucket):
                 own = np.flatnonzero(bucket == b)
                 _, first, short = np.unique(name[own], return_index=True, return_inverse=True)
                 pick = own[first]
-                blob = _pack(name[pick], edges[pick].ravel(), held[pick].ravel(), short.astype(np.uint32), ids[doc[own]])
-                out.append((int(b), blob))
-            yield pd.DataFrame(out, columns=["bucket", "blob"])
+                local, place = np.unique(doc[own], return_inverse=True)
+                parts = (name[pick], edges[pick].ravel(), held[pick].ravel(), short.astype(np.uint32))
+                out.append((int(b), batch, _pack(*parts, place.astype(np.uint32), ids[local], marks[local])))
+            yield pd.DataFrame(out, columns=["bucket", "batch", "blob"])
 
-    return met.select("doc", "mark", "kind", "held").mapInPandas(run, "bucket int, blob binary")
+    return met.select("doc", "mark", "kind", "held").mapInPandas(run, "bucket int, batch long, blob binary")
 
 
 def compared(name: np.ndarray, edges: np.ndarray, held: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -301,32 +333,34 @@ def compared(name: np.ndarray, edges: np.ndarray, held: np.ndarray, doc: np.ndar
 
 
 def _found(sent: DataFrame, parts: int) -> DataFrame:
-    """Answers to documents: names of suffixes with the offsets of their repeated strings."""
+    """(batch, blob): for each request the names of suffixes with the offsets of their repeated strings, by document."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [(p, b) for frame in frames for p, b in zip(frame["bucket"], frame["blob"])]
-        for p in sorted({p for p, _ in rows}):
-            names, edges, held, docs = [], [], [], []
-            for blob in (_unpack(b) for q, b in rows if q == p):
+        rows = [r for frame in frames for r in zip(frame["bucket"], frame["batch"], frame["blob"])]
+        for p in sorted({r[0] for r in rows}):
+            names, edges, held, docs, back = [], [], [], [], []
+            for batch, blob in ((batch, _unpack(b)) for q, batch, b in rows if q == p):
                 short = blob[3]
                 names.append(blob[0][short])
                 edges.append(blob[1].reshape(-1, 2)[short])
                 held.append(blob[2].reshape(-1, SPAN)[short])
-                docs.append(blob[4])
-            name, doc = np.concatenate(names), np.concatenate(docs)
-            low, high = compared(name, np.concatenate(edges), np.concatenate(held), doc)
-            hit = np.flatnonzero(low <= high)
-            hit = hit[np.argsort(doc[hit], kind="stable")]
-            record = np.zeros((len(hit), 2), dtype=np.uint64)
-            record[:, 0], record[:, 1] = name[hit], (low[hit] << 8 | high[hit]).astype(np.uint64)
-            cuts = np.flatnonzero(np.append(True, np.diff(doc[hit]) != 0)) if len(hit) else hit
-            ends = np.append(cuts[1:], len(hit))
-            yield pd.DataFrame({"doc": doc[hit][cuts], "held": [record[a:b].tobytes() for a, b in zip(cuts, ends)]})
-
-    return sent.repartition(parts, "bucket").mapInPandas(run, "doc long, held binary")
-
-
-def spans(text_rows: list[tuple[int, bool, list[bytes], bytes]]) -> Iterator[tuple[int, bytes, np.ndarray]]:
+                docs.append(blob[5][blob[4]])
+                back.append((batch, blob[4], blob[5], blob[6]))
+            name = np.concatenate(names)
+            low, high = compared(name, np.concatenate(edges), np.concatenate(held), np.concatenate(docs))
+            record, at, out = np.stack([name, (low << 8 | np.maximum(high, 0)).astype(np.uint64)], axis=1), 0, []
+            for batch, place, ids, marks in back:
+                own = slice(at, at + len(place))
+                at += len(place)
+                hit = low[own] <= high[own]
+                if hit.any():
+                    out.append((batch, _reply(ids, marks, place[hit], record[own][hit])))
+            yield pd.DataFrame(out, columns=["batch", "blob"])
+
+    return sent.repartition(parts, "bucket").mapInPandas(run, "batch long, blob binary")
+
+
+def spans(text_rows: list[tuple[int, bool, list[bytes], bytes, int]]) -> Iterator[tuple[int, bytes, np.ndarray]]:
     """(doc, text, whether each byte goes) of each document."""
     data, at = scan.joined([d[3] for d in text_rows])
     asked = [i for i, d in enumerate(text_rows) if d[2]]
@@ -353,7 +387,7 @@ def spans(text_rows: list[tuple[int, bool, list[bytes], bytes]]) -> Iterator[tup
             np.add.at(change, f[hit] - high, 1)
             np.add.at(change, f[hit] - low + SIZE, -1)
     gone = np.cumsum(change[:-1]) > 0
-    for i, (doc_id, head, _, text) in enumerate(text_rows):
+    for i, (doc_id, head, _, text, _) in enumerate(text_rows):
         own = gone[at[i] : at[i] + len(text)]
         if not head and len(text) >= SIZE:
             own = np.ones(len(text), dtype=bool)
@@ -382,9 +416,8 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text
     shares = [i / parts for i in range(1, parts)]
     got = chosen.mapInPandas(leads, "lead long").agg(F.percentile_approx("lead", shares, 10_000)).first()[0] if shares else []
     splitters = np.unique(np.array(got or [], dtype=np.uint64)) << np.uint64(1)
-    shared = _shared(_asked(rows, parts), parts).select("doc", "mark", F.lit(1).alias("kind"), F.col("grams").alias("held"))
-    told = _found(_sent(_met(shared, rows, heads, parts), splitters), parts)
-    told = told.join(heads, "doc").select("doc", "mark", F.lit(1).alias("kind"), "held")
+    shared = _per_document(_shared(_asked(rows, parts), parts), parts, 1)
+    told = _per_document(_found(_sent(_met(shared, rows, heads, parts), splitters), parts), parts, 2)
 
     def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in _documents(frames):
