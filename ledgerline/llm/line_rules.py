@@ -29,8 +29,8 @@ SYMBOLS = b"#*$%&|<>"
 TRAIN_DOCS, TRAIN_LINES = 3_000, 64
 LEAST_SHARE = 0.5
 LEAST_WORDS, MOST_REPEATED = 50, 50
-STEPS, RATE, RIDGE = 150, 0.1, 1e-3
-FEATURES = 12
+STEPS, RATE, RIDGE = 250, 0.1, 1e-5
+FEATURES = 15
 
 
 def _mask(chars) -> np.ndarray:
@@ -114,6 +114,9 @@ class Lines:
                 (per_line < 4).astype(float),
                 np.minimum(within(_POINT) / np.maximum(per_line, 1), 2.0),
                 (place == 0).astype(float),
+                (symbols > 0.15 * per_line).astype(float),
+                ((letters >= 8) & (upper > 0.6)).astype(float),
+                (same > 0.5 * per_line).astype(float),
             ],
             axis=1,
         )
