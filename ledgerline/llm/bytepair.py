@@ -23,7 +23,7 @@ NONE = np.int32(2**31 - 1)
 #: Words longer than this are merged one at a time.
 LONG_WORD = 48
 #: Texts are encoded so many bytes at a time.
-SLICE = 1 << 21
+SLICE = 1 << 19
 
 
 @lru_cache(maxsize=1)

@@ -43,7 +43,7 @@ REACH = SIZE - GRAM
 SPAN = REACH + SIZE
 #: One document in so many gives the splitters.
 SPLITTER_SHARE = 64
-BATCH = scan.BLOCK // 2
+BATCH = scan.BLOCK
 
 
 def _slide(values: np.ndarray, width: int, pick) -> np.ndarray:

@@ -11,7 +11,7 @@ import numpy as np
 #: The bytes that part words.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: Bytes handled at a time, so that what is held beside a text is bounded.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
