@@ -86,9 +86,11 @@ class Scorer:
 
 
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, vocabulary: str = VOCABULARY) -> Scorer:
-    """The model by gradient steps on a bounded sample of (train, text): at most ``train_docs`` texts, by hash."""
-    sample = docs.where("train").select(F.xxhash64("text").alias("h"), "text").orderBy("h").limit(train_docs)
-    texts = [r.text for r in sample.collect()]
+    """The model by gradient steps on a bounded sample of (mark, train, text): one training document in so many, by
+    hash, that about ``train_docs`` are expected, and never more than twice as many."""
+    one_in = max(1, -(-docs.count() // train_docs))
+    chosen = docs.where("train").where(F.pmod(F.xxhash64("mark"), F.lit(one_in)) == 0)
+    texts = [r.text for r in chosen.select("text").limit(2 * train_docs).collect()]
     end = merges(public_tokenizers.path(vocabulary)).size
     found, count = [], np.zeros(end + 1)
     for _, ids, counts in encode(texts, vocabulary):
