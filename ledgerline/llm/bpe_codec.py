@@ -6,7 +6,7 @@ that joins later. ``encoded`` looks words up in it and merges all others exactly
 words the lexicon holds.
 
 * Null text: as empty, no ids. Empty table: no rows. Repeated rows: one result each.
-* A text is held whole, with its ids, by the task that encodes it; texts are taken about two million characters at a time.
+* A text is held whole, with its ids, by the task that encodes it; texts are taken about half a million characters at a time.
 * The vocabulary's special tokens count as such in a text, as in the tokenizer library's default.
 * Columns beside the id and the text are ignored.
 """
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.bytepair import Encoder, Words, merges, ragged, slices, whole
-from ledgerline.llm.common import table
+from ledgerline.llm.common import saved, table
 from ledgerline.llm.lexicon import Lexicon, compiled
 from ledgerline.session import fresh_dir
 
@@ -57,10 +57,21 @@ def _count(vocabulary: str):
 
 
 def frequent_words(docs: DataFrame, text: str, most: int, vocabulary: str = VOCABULARY) -> list[bytes]:
-    """The ``most`` most frequent words of all texts (ties: the smaller word)."""
+    """The most frequent words of all texts, at most ``most``.
+
+    A table of how many words there are of each magnitude of count (eighths of a power of two) tells down to which
+    magnitude they can be taken; so no task sends more than its share of them.
+    """
     counted = docs.select(F.col(text)).mapInArrow(_count(vocabulary), "word binary, n long")
-    counted = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return [bytes(r.word) for r in counted.select("word").collect()]
+    counted = counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
+    counted = saved(counted.withColumn("size", F.floor(F.log2("n") * 8).cast("int")))
+    held, least = 0, None
+    for size, n in sorted(counted.groupBy("size").count().collect(), reverse=True):
+        held += n
+        if held > most:
+            break
+        least = size
+    return [] if least is None else [bytes(r.word) for r in counted.where(F.col("size") >= least).select("word").collect()]
 
 
 def share_lexicon(spark: SparkSession, words: list[bytes], vocabulary: str = VOCABULARY) -> str:
