@@ -19,8 +19,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier takes for good ones."""
-    return quality_model.filtered(docs, quality_model.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text"))
+    """Documents that the classifier takes for good ones; it is fitted to the whole table, as few bad ones come here."""
+    whole, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_model.filtered(docs, quality_model.fit(whole, labels, "doc_id", "text"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
