@@ -27,6 +27,14 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def labelled(docs: DataFrame, rated: DataFrame, key: str, text: str) -> DataFrame:
+    """(at, q, text) from the labels (doc_id, q): one row for each labelled id that ``docs`` has, however often an id
+    repeats; of an id's different texts the one with the smallest hash. ``at`` is the hash of the id."""
+    rows = docs.select(F.col(key).alias("_key"), F.struct(F.xxhash64(text).alias("h"), F.col(text).alias("text")).alias("_text"))
+    rows = rows.join(F.broadcast(rated), F.col("_key") == F.col("doc_id"))
+    return rows.groupBy("doc_id", "q").agg(F.min("_text").alias("t")).select(F.xxhash64("doc_id").alias("at"), "q", "t.text")
+
+
 def per_frame(step: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """``step`` on every batch of a ``mapInPandas``."""
 

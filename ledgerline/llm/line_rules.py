@@ -8,7 +8,7 @@ Viterbi decoding of every whole text then gives the likeliest marks, and a docum
 
 * Null text: no words, fails the base rules. A text without line ends is one line.
 * No labelled document: all lines are content, the base rules decide alone.
-* Repeated rows: one result each. Empty table: no rows. Columns beside the id and the text are passed by.
+* Repeated rows: one result each; an id is learnt from once, however many rows have it. Empty table: no rows. Columns beside the id and the text are passed by.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import scan
-from ledgerline.llm.common import by_bytes, per_frame, table
+from ledgerline.llm.common import by_bytes, labelled, per_frame, table
 
 SYMBOLS = b"#*$%&|<>"
 #: Labelled documents that the field is fitted to, and lines of each.
@@ -208,21 +208,20 @@ class Field:
 
 def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, train_docs: int = TRAIN_DOCS) -> Field:
     """The field, from at most ``train_docs`` documents with a quality label (by the hash of their id)."""
-    rated = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_q"))
-    rated = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs).withColumnRenamed("doc_id", "_id")
-    sample = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    sample = sample.join(F.broadcast(rated), F.col("_key") == F.col("_id")).select("_q", "_text")
+    rated = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("q"))
+    rated = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
 
     def describe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts = scan.encoded(frame["_text"])
+            texts = scan.encoded(frame["text"])
             rows = []
             for part in by_bytes(np.array([len(t) for t in texts]), scan.BLOCK):
                 lines = Lines(texts[part])
                 rows += [lines.features[f : f + min(c, TRAIN_LINES)].tobytes() for f, c in zip(lines.first, lines.count)]
-            yield pd.DataFrame({"q": frame["_q"], "f": rows})
+            yield pd.DataFrame({"at": frame["at"], "q": frame["q"], "f": rows})
 
-    got = sample.mapInPandas(describe, "q int, f binary").where("length(f) > 0").orderBy("q", "f").limit(train_docs).collect()
+    got = labelled(docs, rated, key, text).mapInPandas(describe, "at long, q int, f binary").where("length(f) > 0").collect()
+    got.sort(key=lambda r: r.at)
     lines = [np.frombuffer(r.f).reshape(-1, FEATURES) for r in got]
     return Field.fitted(lines, [suspicious(f).astype(int) * (1 - r.q) for f, r in zip(lines, got)])
 

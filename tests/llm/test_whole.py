@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 import corpus_pipeline
+from ledgerline.llm import line_rules, quality_model
 from tests.llm.test_operators import DOCS, LABELS, sentence
 
 
@@ -39,3 +40,15 @@ def test_each_quality_stage_decides_on_its_own_input(spark, corpus):
     kept = {r.doc_id for r in ruled.collect()}
     assert kept == {*range(100), *range(200, 220)}
     assert {r.doc_id for r in corpus_pipeline.quality_classifier(spark, ruled, corpus).collect()} == set(range(100))
+
+
+def test_a_labelled_id_is_learnt_from_once(spark):
+    given = [(i, sentence(i, 80) + ".\n" + sentence(i + 1, 30), "") for i in range(40)]
+    given += [(i, shouts(i, 12), "") for i in range(40, 80)]
+    labels = spark.createDataFrame([(i, int(i < 40), 0) for i in range(80)], LABELS)
+    once = spark.createDataFrame(given, DOCS)
+    often = spark.createDataFrame(given + [given[i] for i in (50, 51, 52) for _ in range(100)], DOCS)
+    models = [quality_model.fit(d, labels, "doc_id", "text", train_docs=80) for d in (once, often)]
+    assert all(np.allclose(models[0].theta[k], models[1].theta[k]) for k in quality_model.Model.NAMES)
+    fields = [line_rules.fit(d, labels, "doc_id", "text", train_docs=80) for d in (once, often)]
+    assert np.allclose(fields[0].weights, fields[1].weights)
