@@ -183,24 +183,15 @@ class Attention:
 
     def train(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, passes: int, rate: float, seed: int = 5) -> list[float]:
         """Adam over shuffled batches; returns each pass's mean loss."""
-        random, losses, step = np.random.default_rng(seed), [], 0
-        moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.theta.items()}
+        random, losses, steps = np.random.default_rng(seed), [], Steps(self)
         size = 64
         total = max(1, passes * -(-len(inputs) // size))
         for _ in range(passes):
             order, seen = random.permutation(len(inputs)), []
             for at in range(0, len(order), size):
                 rows = order[at : at + size]
-                slopes, loss = self.slopes(inputs[rows], targets[rows], scored[rows])
-                seen.append(loss)
-                step += 1
-                pace = rate * (1 - 0.9 * step / total)
-                for k, slope in slopes.items():
-                    m, v = moment[k]
-                    m += 0.1 * (slope - m)
-                    v += 0.01 * (slope * slope - v)
-                    own = pace * (4 if k == "B" else 1)
-                    self.theta[k] -= (own * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+                pace = rate * (1 - 0.9 * (steps.taken + 1) / total)
+                seen.append(steps.take(inputs[rows], targets[rows], scored[rows], pace))
             losses.append(float(np.mean(seen)))
         return losses
 
@@ -220,3 +211,24 @@ class Attention:
         p *= tables[targets]
         p = p.sum(axis=2)
         return np.log10(np.maximum(p, 1e-30))
+
+
+class Steps:
+    """Adam steps on a model's parameters."""
+
+    def __init__(self, model: Attention):
+        self.model, self.taken = model, 0
+        self.moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.theta.items()}
+
+    def take(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, pace: float) -> float:
+        """One step on a batch; returns its mean loss."""
+        slopes, loss = self.model.slopes(inputs, targets, scored)
+        self.taken += 1
+        for k, slope in slopes.items():
+            m, v = self.moment[k]
+            m += 0.1 * (slope - m)
+            v += 0.01 * (slope * slope - v)
+            own = pace * (4 if k == "B" else 1)
+            step = own * (m / (1 - 0.9**self.taken)) / (np.sqrt(v / (1 - 0.99**self.taken)) + 1e-8)
+            self.model.theta[k] -= step.astype(np.float32)
+        return loss

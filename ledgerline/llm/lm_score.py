@@ -1,10 +1,11 @@
 """Language-model scores of whole texts.
 
 A text is its words in lower case (A-Z), each with one blank before it, as subword ids of a public vocabulary, and an
-end. ``fit`` trains the attention model (``attention.py``) on the driver, on at most ``train_docs`` training
-documents; then every training document whose hash falls into one of ``STRIDES`` classes, a fixed share of the
-corpus however large, re-estimates the model's word distributions in a Spark job (``refined``). ``scored`` runs all
-windows of every text through the model. ``word_counts`` gives the unigram base over all training documents.
+end. ``fit`` counts the ids of all training documents and trains the attention model (``attention.py``) on all of
+them: in each of ``ROUNDS`` rounds every task takes gradient steps on its share of the texts and the tasks' weights
+are averaged, each text in one round. Then all training documents re-estimate the model's word distributions
+(``refined``). No text reaches the driver. The weights depend on how the input is dealt into partitions. ``scored`` runs
+all windows of every text through the model. ``word_counts`` gives the unigram base over all training documents.
 
 * Null and empty texts: no words, the end alone is scored. Null ids count as training documents.
 * Repeated rows: each learns and each gets a result; rows that share an id but not the text are told apart.
@@ -22,17 +23,15 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.attention import BATCH, MIXTURE, Attention, Vocabulary, Windows
+from ledgerline.llm.attention import BATCH, Attention, Steps, Vocabulary, Windows
 from ledgerline.llm.bpe_codec import VOCABULARY, encoder
 from ledgerline.llm.bytepair import merges, slices
 from ledgerline.llm.common import saved, table
 from ledgerline.llm.word_counts import lowered, unigram
 
-#: Training documents and windows of the gradient steps, which the driver takes.
-TRAIN_DOCS, TRAIN_WINDOWS = 2_500, 80_000
-SHOWN, PASSES, RATE = 4_096, 2, 0.02
-#: One training document in so many re-estimates the distributions.
-STRIDES = 16
+SHOWN, ROUNDS, RATE = 4_096, 4, 0.02
+#: Numbers in a piece of a task's answer, and input partitions that a training task reads.
+PIECE, GATHERED = 1 << 15, 8
 
 
 def held_out(key: str) -> Column:
@@ -74,67 +73,126 @@ class Scorer:
             out.append(total)
         return np.concatenate(out) if out else np.zeros(0)
 
-    def duties(self, texts) -> tuple[np.ndarray, np.ndarray]:
-        """Duties of the distributions and counts of the ids over the texts."""
-        duty, count = np.zeros(self.tables.shape), np.zeros(self.end + 1)
+    def duties(self, texts) -> np.ndarray:
+        """Duties of the distributions over the texts."""
+        duty = np.zeros(self.tables.shape)
         for _, ids, counts in encode(texts, self.vocabulary):
-            count += np.bincount(ids, minlength=len(count))
-            count[self.end] += len(counts)
             for own, inputs, targets in self._batches(ids, counts):
                 duty += self.model.duties(inputs, targets, own.scored, self.tables)
-        return duty, count
+        return duty
 
 
-def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, vocabulary: str = VOCABULARY) -> Scorer:
-    """The model by gradient steps on a bounded sample of (mark, train, text): one training document in so many, by
-    hash, that about ``train_docs`` are expected, and never more than twice as many."""
-    one_in = max(1, -(-docs.count() // train_docs))
-    chosen = docs.where("train").where(F.pmod(F.xxhash64("mark"), F.lit(one_in)) == 0)
-    texts = [r.text for r in chosen.select("text").limit(2 * train_docs).collect()]
+def _pieces(vector: np.ndarray, weight: float) -> pd.DataFrame:
+    """A task's vector in rows of ``PIECE`` numbers."""
+    rows = [(i, vector[at : at + PIECE].tobytes(), weight) for i, at in enumerate(range(0, len(vector), PIECE))]
+    return pd.DataFrame(rows, columns=["k", "sums", "weight"])
+
+
+def _added(texts: DataFrame, task, kind: str) -> tuple[np.ndarray, float]:
+    """Weighted sum of the vectors of numbers of ``kind`` that the tasks send in pieces, and the sum of the weights.
+    A piece is added up by one group, so no task holds more than one piece of each other one."""
+
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(x, dtype=kind).astype("f8") * w for x, w in zip(frame["sums"], frame["weight"]))
+        return pd.DataFrame({"k": frame["k"][:1], "sums": [total.tobytes()], "weight": [frame["weight"].sum()]})
+
+    schema = "k int, sums binary, weight double"
+    got = texts.mapInPandas(task, schema).groupBy("k").applyInPandas(add, schema).collect()
+    got.sort(key=lambda r: r.k)
+    return np.concatenate([np.frombuffer(bytes(r.sums)) for r in got] or [np.zeros(0)]), got[0].weight if got else 0.0
+
+
+def learnt(docs: DataFrame) -> DataFrame:
+    """(mark, text) of all training documents, several input partitions to a task: each task answers with a model."""
+    rows = docs.where("train").select("mark", "text")
+    parts = rows.rdd.getNumPartitions()
+    return rows.coalesce(max(1, parts // GATHERED, min(parts, docs.sparkSession.sparkContext.defaultParallelism)))
+
+
+def counted(texts: DataFrame, end: int, vocabulary: str) -> np.ndarray:
+    """How often each id, the end included, occurs in all training documents."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        count = np.zeros(end + 1)
+        for frame in frames:
+            for _, ids, counts in encode(frame["text"], vocabulary):
+                count += np.bincount(ids, minlength=len(count))
+                count[end] += len(counts)
+        if count.any():
+            yield _pieces(count, 1.0)
+
+    total, _ = _added(texts, run, "f8")
+    return total if len(total) else np.zeros(end + 1)
+
+
+def trained(texts: DataFrame, scorer: Scorer, pace: float, turn: int) -> Scorer:
+    """The model after one round: each task takes gradient steps on all windows of its texts, beginning with the same
+    weights, and the means of their weights, by windows, are the new ones."""
+    shared = texts.sparkSession.sparkContext.broadcast(scorer)
+    shapes = {k: v.shape for k, v in scorer.model.theta.items()}
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, random, held, seen = shared.value, np.random.default_rng(turn), None, 0
+        model = Attention({k: v.copy() for k, v in own.model.theta.items()})
+        steps = Steps(model)
+        for frame in frames:
+            for _, ids, counts in encode(frame["text"], own.vocabulary):
+                w = Windows.of(ids, counts, own.end)
+                more = [own.words.place[w.inputs], own.words.place[w.targets], w.scored]
+                order = random.permutation(len(w.doc))
+                seen += len(order)
+                more = [x[order] for x in more]
+                held = more if held is None else [np.concatenate(x) for x in zip(held, more)]
+                full = len(held[0]) // BATCH * BATCH
+                for at in range(0, full, BATCH):
+                    steps.take(*(x[at : at + BATCH] for x in held), pace)
+                held = [x[full:] for x in held]
+        if seen:
+            if len(held[0]):
+                steps.take(*held, pace)
+            yield _pieces(np.concatenate([model.theta[k].ravel() for k in shapes]), float(seen))
+
+    total, weight = _added(texts, run, "f4")
+    if not weight:
+        return scorer
+    ends = np.cumsum([int(np.prod(s)) for s in shapes.values()])
+    parts = np.split((total / weight).astype(np.float32), ends[:-1])
+    theta = {k: x.reshape(s) for (k, s), x in zip(shapes.items(), parts)}
+    return Scorer(Attention(theta), scorer.words, scorer.end, scorer.vocabulary)
+
+
+def fit(docs: DataFrame, rounds: int = ROUNDS, vocabulary: str = VOCABULARY) -> Scorer:
+    """The model from all training rows of (mark, train, text): the shown ids are the most frequent of all texts, and
+    every text takes part in the gradient steps of one of the ``rounds``, by its hash."""
+    texts = learnt(docs)
     end = merges(public_tokenizers.path(vocabulary)).size
-    found, count = [], np.zeros(end + 1)
-    for _, ids, counts in encode(texts, vocabulary):
-        found.append(Windows.of(ids, counts, end))
-        count += np.bincount(ids, minlength=len(count))
-        count[end] += len(counts)
+    count = counted(texts, end, vocabulary)
     words = Vocabulary.of(count, SHOWN)
     entry = np.bincount(words.place, weights=count + 0.1, minlength=words.entries)
-    model = Attention.new(entry / entry.sum())
-    if found:
-        parts = [np.concatenate([getattr(w, name) for w in found]) for name in ("inputs", "targets", "scored")]
-        chosen = np.random.default_rng(3).permutation(len(parts[0]))[:TRAIN_WINDOWS]
-        inputs, targets, scored_ = (p[chosen] for p in parts)
-        model.train(words.place[inputs], words.place[targets], scored_, PASSES, RATE)
-    return Scorer(model, words, end, vocabulary)
-
-
-def refined(docs: DataFrame, scorer: Scorer, one_in: int = STRIDES) -> Scorer:
-    """Distributions and shares re-estimated from a fixed share of all training documents: one step of
-    expectation and maximisation. Tasks send their sums in ``MIXTURE`` + 1 rows; each is added up by one group."""
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)
+    scorer = Scorer(Attention.new(entry / entry.sum()), words, end, vocabulary)
+    for turn in range(rounds):
+        own = texts.where(F.pmod(F.xxhash64("mark"), F.lit(rounds)) == turn)
+        scorer = trained(own, scorer, RATE * (1 - 0.9 * turn / rounds), turn)
+    return scorer
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        duty = ids = None
-        for frame in frames:
-            d, c = shared.value.duties(frame["text"])
-            duty, ids = (d, c) if duty is None else (duty + d, ids + c)
-        if duty is not None:
-            rows = [(k, duty[:, k].tobytes()) for k in range(MIXTURE)] + [(MIXTURE, ids.tobytes())]
-            yield pd.DataFrame(rows, columns=["k", "sums"])
 
-    def add(frame: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x) for x in frame["sums"])
-        return pd.DataFrame({"k": frame["k"][:1], "sums": [total.tobytes()]})
+def refined(docs: DataFrame, scorer: Scorer) -> Scorer:
+    """Distributions re-estimated from all training documents: one step of expectation and maximisation."""
+    shared, shape = docs.sparkSession.sparkContext.broadcast(scorer), scorer.tables.shape
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        duty = np.zeros(shape)
+        for frame in frames:
+            duty += shared.value.duties(frame["text"])
+        if duty.any():
+            yield _pieces(duty.ravel(), 1.0)
 
-    chosen = docs.where("train").where(F.pmod(F.xxhash64("mark", "text"), F.lit(one_in)) == 0).select("text")
-    got = chosen.mapInPandas(count, "k int, sums binary").groupBy("k").applyInPandas(add, "k int, sums binary")
-    sums = {r.k: np.frombuffer(bytes(r.sums)) for r in got.collect()}
-    if not sums:
+    duty, weight = _added(learnt(docs), run, "f8")
+    if not weight:
         return scorer
-    duty = np.stack([sums[k] for k in range(MIXTURE)])
     theta = dict(scorer.model.theta)
-    theta["B"] = np.log(duty + 20 * scorer.tables.T + 1e-12).astype(np.float32)
-    return Scorer(Attention(theta), scorer.words.split(sums[MIXTURE]), scorer.end, scorer.vocabulary)
+    theta["B"] = np.log(duty.reshape(shape).T + 20 * scorer.tables.T + 1e-12).astype(np.float32)
+    return Scorer(Attention(theta), scorer.words, scorer.end, scorer.vocabulary)
 
 
 def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:

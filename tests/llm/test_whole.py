@@ -4,9 +4,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerline.llm import line_rules, quality_model
+from ledgerline.llm import line_rules, lm_score, quality_model
+from ledgerline.llm.attention import Vocabulary
 from tests.llm.test_operators import DOCS, LABELS, sentence
 
 
@@ -52,3 +54,24 @@ def test_a_labelled_id_is_learnt_from_once(spark):
     assert all(np.allclose(models[0].theta[k], models[1].theta[k]) for k in quality_model.Model.NAMES)
     fields = [line_rules.fit(d, labels, "doc_id", "text", train_docs=80) for d in (once, often)]
     assert np.allclose(fields[0].weights, fields[1].weights)
+
+
+def test_every_training_text_reaches_the_language_model(spark):
+    texts = [sentence(i, 2) + f" w{i} common words" for i in range(6_000)]
+    rows = [(i, True, t) for i, t in enumerate(texts)] + [(i, False, "held out") for i in range(6_000, 6_100)]
+    docs = spark.createDataFrame(rows, "mark long, train boolean, text string").repartition(5)
+    scorer = lm_score.fit(docs)
+    count = np.zeros(scorer.end + 1)
+    for _, ids, counts in lm_score.encode(texts, scorer.vocabulary):
+        count += np.bincount(ids, minlength=len(count))
+        count[scorer.end] += len(counts)
+    want = Vocabulary.of(count, lm_score.SHOWN)
+    assert np.array_equal(scorer.words.place, want.place) and np.allclose(scorer.words.share, want.share)
+    turns = [lm_score.learnt(docs).where(F.pmod(F.xxhash64("mark"), F.lit(lm_score.ROUNDS)) == t) for t in range(lm_score.ROUNDS)]
+    assert sum(t.count() for t in turns) == 6_000
+    with pytest.MonkeyPatch.context() as patch:
+        asked = []
+        patch.setattr(lm_score, "_added", lambda texts, *rest, f=lm_score._added: asked.append(texts.count()) or f(texts, *rest))
+        lm_score.refined(docs, scorer)
+    assert asked == [6_000]
+    assert lm_score.fit(docs.limit(0)).scores(texts[:1])[0] + 5 < scorer.scores(texts[:1])[0]
