@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import bpe_codec, embedding_dedup, line_rules, lm_score, near_dup, packing, passages, quality_model, url_filter, warc
+from ledgerline.llm import bpe_codec, chat_format, embedding_dedup, fill_middle, line_rules, lm_score, near_dup, packing
+from ledgerline.llm import passages, quality_model, source_audit, url_filter, warc
 from ledgerline.plans.registry import Query
 
 QUERIES: dict[str, Query] = {
@@ -16,4 +17,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": Query(url_filter.query, url_filter.SQL),
     "op9_bpe_codec": Query(bpe_codec.query, None),
     "op10_passages": Query(passages.query, None),
+    "op11_source_audit": Query(source_audit.query, source_audit.SQL),
+    "op12_chat_format": Query(chat_format.query, chat_format.SQL),
+    "op13_fill_middle": Query(fill_middle.query, fill_middle.SQL),
 }
