@@ -291,7 +291,7 @@ def insert_new(
 def compact(spark: SparkSession, path: str, partition: str = "dt", values: Sequence | None = None) -> None:
     """Rewrites the given partitions (default: all) into files of Spark's advisory size. Columns that only some of
     the files have stay."""
-    table = read_merged(spark, path)
+    table = _whole(spark, path)
     columns = [partition] + ([BUCKET] if BUCKET in table.columns else [])
     finish_rewrite(spark, path, table.schema, columns)
     if values is not None:
@@ -337,6 +337,11 @@ def as_of(log: DataFrame, keys: Sequence[str], batch_id: int) -> DataFrame:
     return latest.unionByName(seen.filter(~known)).drop("batch_id")
 
 
-def read_merged(spark: SparkSession, path: str) -> DataFrame:
-    """A table whose files gained columns over time; older rows get NULL."""
+def _whole(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
+
+
+def read_merged(spark: SparkSession, path: str) -> DataFrame:
+    """A table whose files gained columns over time; older rows get NULL. The bucket that a bucketed table's folders
+    name belongs to the layout and is left out."""
+    return _whole(spark, path).drop(BUCKET)

@@ -122,15 +122,15 @@ def failed_login_burst(spark, sf_dir):
     f"{sql.MONEY} AS total FROM ({TX}) GROUP BY 1, 2",
 )
 def sql_silver_summary(spark, sf_dir):
-    """Ad-hoc SQL over a silver view."""
-    silver_frame(spark, sf_dir, TRANSACTIONS).createOrReplaceTempView("silver_transactions")
+    """Ad-hoc SQL over silver; the frame is handed over by name for this statement only."""
     return spark.sql(
         """
         SELECT year(dt) AS year, is_fraud, count(*) AS n, count(DISTINCT customer_id) AS customers,
                CAST(sum(CAST(amount AS DECIMAL(18, 2))) AS DOUBLE) AS total
-        FROM silver_transactions
+        FROM {silver}
         GROUP BY year(dt), is_fraud
-        """
+        """,
+        silver=silver_frame(spark, sf_dir, TRANSACTIONS),
     )
 
 

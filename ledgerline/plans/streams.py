@@ -37,14 +37,9 @@ def _bronze_of(spark, rows, partition="dt"):
     return path
 
 
-def _drain(start, *args, **options):
-    """Runs one query to the end of its input; a failure surfaces here."""
-    start(*args, trigger=jobs.ALL_AVAILABLE, **options).awaitTermination()
-
-
 def _silver_run(spark, bronze_path, stream, path, checkpoint=None, **options):
     bronze = table_appends(streaming_session(spark), stream.bronze, bronze_path)
-    _drain(jobs.run_silver, bronze, stream, path, checkpoint or fresh_dir(spark, "checkpoint"), **options)
+    jobs.drained(jobs.run_silver, bronze, stream, path, checkpoint or fresh_dir(spark, "checkpoint"), **options)
 
 
 _BRONZE_TX = (
@@ -59,7 +54,7 @@ def stream_route_transactions(spark, sf_dir):
     log = _log_of(spark, fixtures.all_topics(spark, sf_dir))
     path = fresh_dir(spark, "bronze")
     envelope = message_log(streaming_session(spark), "parquet", path=log)
-    _drain(jobs.run_bronze, envelope, TRANSACTIONS, path, fresh_dir(spark, "checkpoint"), partition=None)
+    jobs.drained(jobs.run_bronze, envelope, TRANSACTIONS, path, fresh_dir(spark, "checkpoint"), partition=None)
     return spark.read.schema(TRANSACTIONS.bronze).parquet(path)
 
 
@@ -73,7 +68,7 @@ def stream_bronze_partitioned(spark, sf_dir):
     log = _log_of(spark, fixtures.envelope(fixtures.raw(spark, sf_dir, AUTH_LOGS), AUTH_LOGS))
     path = fresh_dir(spark, "bronze")
     envelope = message_log(streaming_session(spark), "parquet", path=log)
-    _drain(jobs.run_bronze, envelope, AUTH_LOGS, path, fresh_dir(spark, "checkpoint"))
+    jobs.drained(jobs.run_bronze, envelope, AUTH_LOGS, path, fresh_dir(spark, "checkpoint"))
     return spark.read.schema(AUTH_LOGS.bronze).parquet(path)
 
 
@@ -114,7 +109,7 @@ def stream_dead_letters(spark, sf_dir):
     log = _log_of(spark, fixtures.faulty_auth_envelope(spark, sf_dir))
     path = fresh_dir(spark, "dead")
     envelope = message_log(streaming_session(spark), "parquet", path=log)
-    _drain(jobs.run_dead_letters, envelope, AUTH_LOGS, path, fresh_dir(spark, "checkpoint"))
+    jobs.drained(jobs.run_dead_letters, envelope, AUTH_LOGS, path, fresh_dir(spark, "checkpoint"))
     return spark.read.schema("payload STRING, topic STRING").parquet(path)
 
 
@@ -170,7 +165,7 @@ def stream_dedup_stateless(spark, sf_dir):
     bronze = _bronze_of(spark, fixtures.raw_with_copies(spark, sf_dir, AUTH_LOGS))
     # Several micro-batches, so that copies, also of rows without a date, meet rows that the table holds already.
     source = table_appends(streaming_session(spark), AUTH_LOGS.bronze, bronze, {"maxFilesPerTrigger": "12"})
-    _drain(jobs.run_silver_stateless, source, AUTH_LOGS, path, fresh_dir(spark, "checkpoint"))
+    jobs.drained(jobs.run_silver_stateless, source, AUTH_LOGS, path, fresh_dir(spark, "checkpoint"))
     return _keys_once(spark, path)
 
 
@@ -286,7 +281,7 @@ def alerts_suspicious(spark, sf_dir):
 
     def alert():
         changes = change_log(streaming_session(spark), stream.silver, log)
-        _drain(jobs.run_alerts, changes, alerts, alerting)
+        jobs.drained(jobs.run_alerts, changes, alerts, alerting)
 
     for part in (rows.filter(early), rows.filter(~early | again)):
         append(part, bronze)
@@ -310,7 +305,7 @@ def stream_enrich_customer(spark, sf_dir):
     master = fixtures.table(session, sf_dir, "customer")
     events = silver.select("event_id", "user_id", "dt")
     rows = enrich_stream(events, master, ("user_id", "c_custkey"), ["c_mktsegment", "c_nationkey"], "event_id")
-    _drain(jobs.to_files, rows, path, fresh_dir(spark, "checkpoint"), partition=None)
+    jobs.drained(jobs.to_files, rows, path, fresh_dir(spark, "checkpoint"), partition=None)
     return spark.read.parquet(path)
 
 
@@ -326,7 +321,7 @@ def bi_hourly_merchant(spark, sf_dir):
     silver = change_log(
         streaming_session(spark), TRANSACTIONS.silver, _silver_log(spark, sf_dir, TRANSACTIONS)
     )
-    _drain(jobs.run_hourly_merchant, silver, path, fresh_dir(spark, "checkpoint"))
+    jobs.drained(jobs.run_hourly_merchant, silver, path, fresh_dir(spark, "checkpoint"))
     return spark.read.schema("hour TIMESTAMP, merchant STRING, n BIGINT, total DOUBLE").parquet(path)
 
 
@@ -341,7 +336,7 @@ def fraud_scores(spark, sf_dir):
     log, path = _silver_log(spark, sf_dir, stream), fresh_dir(spark, "scores")
     model = scoring.train_fraud_model(spark.read.parquet(log))
     silver = change_log(streaming_session(spark), stream.silver, log, ONE_FILE)
-    _drain(jobs.run_scoring, model, silver, path, fresh_dir(spark, "checkpoint"))
+    jobs.drained(jobs.run_scoring, model, silver, path, fresh_dir(spark, "checkpoint"))
     return spark.read.parquet(path).select("transaction_id", F.col("dt").cast("date").alias("dt"), "prediction")
 
 

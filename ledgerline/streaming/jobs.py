@@ -219,6 +219,11 @@ def run_scoring(
     return to_files(scoring.score(model, silver), path, checkpoint, trigger, None)
 
 
+def drained(start: Callable[..., StreamingQuery], *args, **options) -> None:
+    """Runs one query to the end of its input; a failure surfaces here."""
+    start(*args, trigger=ALL_AVAILABLE, **options).awaitTermination()
+
+
 def wait_for_all(queries: Iterable[StreamingQuery]) -> None:
     """Blocks while any of the queries runs and raises as soon as one has failed, whichever it is."""
     running = list(queries)
