@@ -1,6 +1,6 @@
 """Every operator as a named query over the benchmark tables."""
 
-from ledgerline.plans import alerts, gold, rows, streams, tables
+from ledgerline.plans import alerts, gold, history, rows, streams, tables
 from ledgerline.plans.registry import QUERIES
 
-__all__ = ["QUERIES", "alerts", "gold", "rows", "streams", "tables"]
+__all__ = ["QUERIES", "alerts", "gold", "history", "rows", "streams", "tables"]
