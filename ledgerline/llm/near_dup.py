@@ -122,6 +122,8 @@ def _blocks_compared(least: float):
     """Links between the rows of two blocks of one band, each pair in the first band that it shares."""
 
     def links(x: pd.DataFrame, y: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        if not len(x) or not len(y):
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         bands = [np.stack([np.asarray(b) for b in f["bands"]]) for f in (x, y)]
         band = int(x["band"].iloc[0])
         here = int(np.flatnonzero(bands[0][0] == band)[0])
@@ -162,16 +164,35 @@ def _blocks_compared(least: float):
     return run
 
 
+def shipped(open_: DataFrame, least: float, block: int) -> DataFrame:
+    """(band, node, n, component, block, other): each member once for every block that its own is compared with."""
+    parts = open_.groupBy("band", "component").agg(F.count("*").alias("m"), F.min("n").alias("low"), F.max("n").alias("high"))
+    main = parts.groupBy("band").agg(F.max(F.struct("m", "component")).alias("main"))
+    parts = parts.join(main.select("band", F.col("main.component").alias("main")), "band")
+    outside, inside = F.col("component") != F.col("main"), F.col("component") == F.col("main")
+    sizes = parts.groupBy("band", "main").agg(
+        F.ceil(F.sum(F.when(outside, F.col("m"))) / block).cast("int").alias("outer"),
+        F.ceil(F.sum(F.when(inside, F.col("m"))) / block).cast("int").alias("inner"),
+        (F.min(F.when(outside, F.col("low"))) * least).alias("low"),
+        (F.max(F.when(outside, F.col("high"))) / least).alias("high"),
+    )
+    rows = open_.join(sizes, "band").where(outside | F.col("n").between(F.col("low") - 1, F.col("high") + 1))
+    place = F.when(outside, F.pmod(F.xxhash64("node"), F.col("outer")))
+    place = place.otherwise(F.col("outer") + F.pmod(F.xxhash64("node"), F.col("inner"))).cast("int")
+    met = F.sequence(F.lit(0), F.when(outside, F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1)
+    return rows.select("band", "node", "n", "component", place.alias("block"), F.explode(met).alias("other"))
+
+
 def exhausted(open_: DataFrame, reps: DataFrame, texts: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between unconnected members of a band (band, node, n, component): all are compared, in blocks.
 
-    A block is compared with every block of its band; no pair leaves its task unless it is a link.
+    A band is mostly one large component, whose members need no comparison with each other, and some outsiders. A
+    block of outsiders meets every block of its band, a block of the large component those of the outsiders only; so
+    the rows sent are about the band's members, once per block of outsiders, and the outsiders, once per block of
+    members. Members of the large component that are too long or too short for every outsider are not sent. No pair
+    leaves its task unless it is a link.
     """
-    sizes = open_.groupBy("band").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    rows = open_.join(sizes, "band").join(reps.select("node", "bands"), "node").join(texts, "node")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
-    rows = rows.select("band", "node", "n", "component", "bands", "packed", "block", other)
+    rows = shipped(open_, least, block).join(reps.select("node", "bands"), "node").join(texts, "node")
     rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
     return rows.groupBy("band", "i", "j").applyInPandas(_blocks_compared(least), "a long, b long").distinct()
 
