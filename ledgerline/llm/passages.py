@@ -41,6 +41,8 @@ from ledgerline.llm.word_counts import _pack, _unpack
 SIZE, GRAM = 50, 16
 REACH = SIZE - GRAM
 SPAN = REACH + SIZE
+#: Bits of an anchor's hash that travel. Two anchors that agree in them by chance cost a suffix sent in vain.
+SHORT = np.uint64((1 << 48) - 1)
 #: One document in so many gives the splitters.
 SPLITTER_SHARE = 64
 BATCH = scan.BLOCK
@@ -88,11 +90,16 @@ def suffixes(data: np.ndarray, at: np.ndarray, found: np.ndarray, doc: np.ndarra
     place = np.clip(found[:, None] + column, 0, len(data) - 1)
     held = np.where(inside, data[place], 0).astype(np.uint8)
     edges = np.stack([before, after], axis=1).astype(np.uint8)
+    return named(edges, held), edges, held
+
+
+def named(edges: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """A hash of each suffix and its edges."""
     words = np.ascontiguousarray(np.pad(held, ((0, 0), (0, -SPAN % 8)))).view(np.uint64)
     name = (edges[:, 0].astype(np.uint64) << np.uint64(8)) + edges[:, 1]
     for i in range(words.shape[1]):
         name = scan.mixed(name * np.uint64(0x9E3779B97F4A7C15) + words[:, i])
-    return name, edges, held
+    return name
 
 
 def sorted_order(rows: np.ndarray) -> np.ndarray:
@@ -131,6 +138,7 @@ def _asked(rows: DataFrame, parts: int) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame, data, at in _batches(frames):
             found, gram = anchors(data, at)
+            gram &= SHORT
             doc = np.searchsorted(at, found, side="right") - 1
             part, rest = (gram % np.uint64(parts)).astype(np.int64), gram // np.uint64(parts)
             order = np.lexsort((doc, rest, part))
@@ -259,6 +267,7 @@ def _sent(met: DataFrame, splitters: np.ndarray) -> DataFrame:
                 continue
             data, at = scan.joined([d[3] for d in docs])
             found, gram = anchors(data, at)
+            gram &= SHORT
             doc = np.searchsorted(at, found, side="right") - 1
             mine = [np.frombuffer(b"".join(d[2]), dtype=np.uint64) for d in docs]
             owner = np.repeat(np.arange(len(docs)), [len(m) for m in mine]).astype(np.uint64)
@@ -276,11 +285,13 @@ def _sent(met: DataFrame, splitters: np.ndarray) -> DataFrame:
             batch, out = _name(ids, marks), []
             for b in np.unique(bucket):
                 own = np.flatnonzero(bucket == b)
-                _, first, short = np.unique(name[own], return_index=True, return_inverse=True)
-                pick = own[first]
+                _, first, back = np.unique(name[own], return_index=True, return_inverse=True)
+                # In the order of their bytes, in which they compress best; their names follow from the bytes.
+                order = sorted_order(held[own[first]])
+                pick, short = own[first[order]], np.argsort(order)[back]
                 local, place = np.unique(doc[own], return_inverse=True)
-                parts = (name[pick], edges[pick].ravel(), held[pick].ravel(), short.astype(np.uint32))
-                out.append((int(b), batch, _pack(*parts, place.astype(np.uint32), ids[local], marks[local])))
+                parts = (edges[pick].ravel(), held[pick].ravel(), short.astype(np.uint32))
+                out.append((int(b), batch, _pack(*parts, place.astype(np.uint32), ids[local], marks[local], level=6)))
             yield pd.DataFrame(out, columns=["bucket", "batch", "blob"])
 
     return met.select("doc", "mark", "kind", "held").mapInPandas(run, "bucket int, batch long, blob binary")
@@ -340,12 +351,13 @@ def _found(sent: DataFrame, parts: int) -> DataFrame:
         for p in sorted({r[0] for r in rows}):
             names, edges, held, docs, back = [], [], [], [], []
             for batch, blob in ((batch, _unpack(b)) for q, batch, b in rows if q == p):
-                short = blob[3]
-                names.append(blob[0][short])
-                edges.append(blob[1].reshape(-1, 2)[short])
-                held.append(blob[2].reshape(-1, SPAN)[short])
-                docs.append(blob[5][blob[4]])
-                back.append((batch, blob[4], blob[5], blob[6]))
+                own_edges, own_held, short, place, ids, marks = blob
+                own_edges, own_held = own_edges.reshape(-1, 2), own_held.reshape(-1, SPAN)
+                names.append(named(own_edges, own_held)[short])
+                edges.append(own_edges[short])
+                held.append(own_held[short])
+                docs.append(ids[place])
+                back.append((batch, place, ids, marks))
             name = np.concatenate(names)
             low, high = compared(name, np.concatenate(edges), np.concatenate(held), np.concatenate(docs))
             record, at, out = np.stack([name, (low << 8 | np.maximum(high, 0)).astype(np.uint64)], axis=1), 0, []

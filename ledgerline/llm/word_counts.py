@@ -30,10 +30,12 @@ def lowered(texts) -> list[bytes]:
     return [t.lower() for t in scan.encoded(texts)]
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
+def _pack(*arrays: np.ndarray, level: int = 1) -> bytes:
+    """Compressed arrays, of each number the first bytes of all values together, then the second ones, and so on."""
     head = np.array([len(arrays), *[len(a) for a in arrays]], dtype=np.int64)
     kinds = "".join(a.dtype.str[1:] for a in arrays).encode().ljust(16)
-    return zstandard.ZstdCompressor(level=1).compress(head.tobytes() + kinds + b"".join(a.tobytes() for a in arrays))
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=level).compress(head.tobytes() + kinds + b"".join(planes))
 
 
 def _unpack(blob: bytes) -> list[np.ndarray]:
@@ -44,9 +46,10 @@ def _unpack(blob: bytes) -> list[np.ndarray]:
     kinds = raw[at : at + 16].decode().strip()
     at, out = at + 16, []
     for i, size in enumerate(sizes):
-        a = np.frombuffer(raw, dtype=kinds[2 * i : 2 * i + 2], count=int(size), offset=at)
-        at += a.nbytes
-        out.append(a)
+        kind = np.dtype(kinds[2 * i : 2 * i + 2])
+        planes = np.frombuffer(raw, dtype=np.uint8, count=int(size) * kind.itemsize, offset=at)
+        at += planes.nbytes
+        out.append(np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).reshape(-1).view(kind))
     return out
 
 
