@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from ledgerline.session import shared_root
 
 
+#: Links of a graph that a task takes, about.
+LINKS = 50_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -64,27 +68,29 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
 
     Alternating large-star and small-star steps: each moves links to the smallest neighbour, by a group minimum
     that is taken before the shuffle and a join that may be split, so a node with many links is not one task.
-    Each step is checkpointed, and the loop ends when a step changes no link.
+    Each step is checkpointed, and the loop ends when a step changes no link. Links are taken ``LINKS`` to a task,
+    whatever the number of shuffle partitions, as a step has many small exchanges.
     """
-    links = saved(
-        edges.select(F.col(left).alias("a"), F.col(right).alias("b"))
-        .where("a <> b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct()
-    )
+    edges = edges.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a <> b")
+    edges = saved(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    parts = max(1, -(-edges.count() // LINKS))
+    links = saved(edges.coalesce(parts).distinct().coalesce(parts))
     before = None
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
+        least = least.coalesce(parts)
         large = both.where("b > a").join(least, F.col("a") == F.col("k")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.distinct()
-        small = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "k")
+        large = large.coalesce(parts).distinct().coalesce(parts)
+        small = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "k").coalesce(parts)
         joined = large.join(small, F.col("a") == F.col("k"))
         links = saved(
             joined.select("a", F.col("m").alias("b"))
             .unionByName(joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
             .where("a <> b")
+            .coalesce(parts)
             .distinct()
+            .coalesce(parts)
         )
         now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:

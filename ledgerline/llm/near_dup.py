@@ -173,13 +173,15 @@ def shipped(open_: DataFrame, least: float, block: int) -> DataFrame:
     sizes = parts.groupBy("band", "main").agg(
         F.ceil(F.sum(F.when(outside, F.col("m"))) / block).cast("int").alias("outer"),
         F.ceil(F.sum(F.when(inside, F.col("m"))) / block).cast("int").alias("inner"),
+        F.sum("m").alias("members"),
         (F.min(F.when(outside, F.col("low"))) * least).alias("low"),
         (F.max(F.when(outside, F.col("high"))) / least).alias("high"),
     )
     rows = open_.join(sizes, "band").where(outside | F.col("n").between(F.col("low") - 1, F.col("high") + 1))
-    place = F.when(outside, F.pmod(F.xxhash64("node"), F.col("outer")))
+    small = F.col("members") <= block
+    place = F.when(small, 0).when(outside, F.pmod(F.xxhash64("node"), F.col("outer")))
     place = place.otherwise(F.col("outer") + F.pmod(F.xxhash64("node"), F.col("inner"))).cast("int")
-    met = F.sequence(F.lit(0), F.when(outside, F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1)
+    met = F.sequence(F.lit(0), F.when(small, 1).when(outside, F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1)
     return rows.select("band", "node", "n", "component", place.alias("block"), F.explode(met).alias("other"))
 
 
@@ -190,7 +192,7 @@ def exhausted(open_: DataFrame, reps: DataFrame, texts: DataFrame, least: float,
     block of outsiders meets every block of its band, a block of the large component those of the outsiders only; so
     the rows sent are about the band's members, once per block of outsiders, and the outsiders, once per block of
     members. Members of the large component that are too long or too short for every outsider are not sent. No pair
-    leaves its task unless it is a link.
+    leaves its task unless it is a link. A band that fits a block is one.
     """
     rows = shipped(open_, least, block).join(reps.select("node", "bands"), "node").join(texts, "node")
     rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
@@ -210,6 +212,21 @@ def packed_texts(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> Data
     return small.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, component) after more links (a, b): only components that these join are worked on."""
+
+    def label(side: str) -> DataFrame:
+        return labels.select(F.col("node").alias(side), F.col("component").alias(f"_{side}"))
+
+    ends = links.join(label("a"), "a", "left").join(label("b"), "b", "left")
+    ends = saved(ends.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).distinct())
+    moved = components(ends, "a", "b").select(F.col("node").alias("_old"), F.col("component").alias("_new"))
+    placed = labels.join(moved, labels["component"] == moved["_old"], "left")
+    placed = placed.select("node", F.coalesce("_new", "component").alias("component"))
+    fresh = moved.select(F.col("_old").alias("node"), F.col("_new").alias("component"))
+    return saved(placed.unionByName(fresh.join(placed.select("node"), "node", "left_anti")))
+
+
 def near_copies(
     docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -231,9 +248,12 @@ def near_copies(
     links = saved(verified(star, texts, least))
     fits = (F.col("nb") >= least * F.col("na")) & (F.col("na") >= least * F.col("nb")) & (F.col("ca") != F.col("cb"))
     turn, new, tried = 0, 0, 0
+    # An id with several texts may stand for copies of one of them and be a copy by another.
+    own = same.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
+    chained = own.join(same.select(F.col("rep").alias("a")).distinct(), "a", "left_semi")
+    labels = components(links.unionByName(chained), "a", "b")
     while True:
-        placed = banded.join(components(links, "a", "b"), "node", "left")
-        placed = placed.withColumn("component", F.coalesce("component", "node"))
+        placed = banded.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         split = placed.groupBy("band").agg(F.min("component").alias("_l"), F.max("component").alias("_h")).where("_l < _h")
         open_ = saved(placed.join(split.select("band"), "band", "left_semi").select("band", "node", "n", "component"))
         sizes = open_.groupBy("band", "component").agg(F.count("*").cast("double").alias("m")).groupBy("band")
@@ -242,7 +262,7 @@ def near_copies(
         if not members:
             break
         if crossing <= 2 * members or turn > 0 and new < 0.1 * tried:
-            links = links.unionByName(saved(exhausted(open_, reps, texts, least)))
+            labels = joined(labels, saved(exhausted(open_, reps, texts, least)))
             break
         turn += 1
         left = open_.select("band", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
@@ -251,9 +271,11 @@ def near_copies(
         right = right.select("band", F.col("r.node").alias("b"), F.col("r.n").alias("nb"), F.col("r.component").alias("cb"))
         pairs = saved(left.join(right, "band").where(fits).select("a", "b").distinct())
         more = saved(verified(pairs, texts, least))
-        new, tried, links = more.count(), pairs.count(), links.unionByName(more)
-    edges = links.unionByName(same.select(F.col("node").alias("a"), F.col("rep").alias("b")))
-    found = components(edges, "a", "b")
+        new, tried, labels = more.count(), pairs.count(), joined(labels, more)
+    # A representative has the smallest id of its equal texts, so its component's smallest id is that of all of them.
+    alike = same.groupBy("rep").agg(F.count("*").alias("m")).where("m > 1").select(F.col("rep").alias("node"))
+    found = alike.withColumn("component", F.col("node")).join(labels, "node", "left_anti").unionByName(labels)
+    found = same.join(found, F.col("rep") == found["node"]).select(same["node"], "component")
     out = docs.select(F.col(key)).join(found, F.col(key) == F.col("node"), "left")
     return out.select(
         key,

@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from ledgerline.llm import near_dup
+from ledgerline.llm.common import components
 from tests.llm import brute
 from tests.llm.test_operators import DOCS, sentence
 
@@ -38,3 +39,21 @@ def test_outsiders_of_a_giant_group_find_their_links(spark):
     docs = spark.createDataFrame([(i, t, "") for i, t in texts.items()], DOCS).repartition(3)
     got = {r.doc_id: r.class_id for r in near_dup.near_copies(docs).collect()}
     assert got == want
+
+
+def test_ids_with_several_texts_chain_their_copies(spark):
+    a, b = sentence(41, 40), sentence(42, 40)
+    docs = spark.createDataFrame([(9, a, ""), (5, a, ""), (5, b, ""), (2, b, ""), (7, sentence(43, 40), "")], DOCS)
+    got = {(r.doc_id, r.class_id) for r in near_dup.near_copies(docs).collect()}
+    assert got == {(9, 2), (5, 2), (2, 2), (7, 7)}
+
+
+def test_later_links_join_what_was_found(spark):
+    edges = [(i, i + 2) for i in range(40)] + [(100, 101)]
+    links = spark.createDataFrame(edges, "a long, b long")
+    labels = components(links, "a", "b")
+    more = spark.createDataFrame([(39, 100), (7, 8), (300, 301), (301, 5)], "a long, b long")
+    got = {r.node: r.component for r in near_dup.joined(labels, more).collect()}
+    assert got == {n: 0 for n in [*range(42), 100, 101, 300, 301]}
+    none = spark.createDataFrame([], "a long, b long")
+    assert near_dup.joined(components(none, "a", "b"), none).count() == 0
