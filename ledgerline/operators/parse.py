@@ -22,7 +22,8 @@ def _has_record(payload: Column) -> Column:
     return payload.isNotNull() & (F.btrim(payload, F.lit(_JSON_BLANKS)) != "")
 
 
-def _payloads(envelope: DataFrame, stream: EventStream) -> DataFrame:
+def payloads(envelope: DataFrame, stream: EventStream) -> DataFrame:
+    """Texts of one topic that hold a record."""
     text = F.col("value").cast("string")
     return envelope.filter(F.col("topic") == stream.topic).filter(_has_record(text)).select(text.alias("payload"))
 
@@ -34,7 +35,7 @@ def parse_topic(envelope: DataFrame, stream: EventStream) -> DataFrame:
     where a projection would let them be pushed below and parse the payload again for each.
     """
     parsed = F.from_json("payload", stream.wire, {"mode": "PERMISSIVE"})
-    return _payloads(envelope, stream).select(F.inline(F.array(parsed)))
+    return payloads(envelope, stream).select(F.inline(F.array(parsed)))
 
 
 def dead_letters(envelope: DataFrame, stream: EventStream) -> DataFrame:
@@ -43,7 +44,7 @@ def dead_letters(envelope: DataFrame, stream: EventStream) -> DataFrame:
     # One comparison of the whole struct: testing the fields one by one would parse the payload once per field.
     nothing = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in stream.wire.fields])
     return (
-        _payloads(envelope, stream)
+        payloads(envelope, stream)
         .select("payload", parsed.alias("data"))
         .filter(F.col("data").eqNullSafe(nothing))
         .select(F.lit(stream.topic).alias("topic"), "payload")

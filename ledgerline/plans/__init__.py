@@ -1,6 +1,6 @@
 """Every operator as a named query over the benchmark tables."""
 
-from ledgerline.plans import alerts, gold, history, rows, streams, tables, watching
+from ledgerline.plans import alerts, drift, gold, history, rows, streams, tables, watching
 from ledgerline.plans.registry import QUERIES
 
-__all__ = ["QUERIES", "alerts", "gold", "history", "rows", "streams", "tables", "watching"]
+__all__ = ["QUERIES", "alerts", "drift", "gold", "history", "rows", "streams", "tables", "watching"]

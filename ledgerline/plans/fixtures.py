@@ -132,7 +132,7 @@ def two_batches(spark: SparkSession, sf_dir: str, stream: EventStream) -> tuple[
     return rows.filter(first), later.unionByName(changed_copies(rows, CORRECTIONS[stream.topic]))
 
 
-def _messages(rows: DataFrame, stream: EventStream, text: Column) -> DataFrame:
+def messages(rows: DataFrame, stream: EventStream, text: Column) -> DataFrame:
     """Messages of one topic. ``inline`` keeps what reads them from evaluating ``text`` once per use, as a stored
     message would be written only once."""
     value = F.inline(F.array(F.struct(text.cast("binary").alias("value"))))
@@ -141,7 +141,7 @@ def _messages(rows: DataFrame, stream: EventStream, text: Column) -> DataFrame:
 
 def envelope(rows: DataFrame, stream: EventStream) -> DataFrame:
     """Wire form: one JSON object per message."""
-    return _messages(rows, stream, F.to_json(F.struct(*[F.col(c) for c in stream.wire.names])))
+    return messages(rows, stream, F.to_json(F.struct(*[F.col(c) for c in stream.wire.names])))
 
 
 def all_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,7 +156,7 @@ def faulty_auth_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = proper
     for k, payload in BROKEN_PAYLOADS.items():
         value = F.when(F.col("k") == k, F.expr(payload)).otherwise(value)
-    return _messages(source_rows(spark, sf_dir, stream), stream, value)
+    return messages(source_rows(spark, sf_dir, stream), stream, value)
 
 
 # --- The same in SQL ----------------------------------------------------------------------------------

@@ -20,6 +20,7 @@ from ledgerline import schemas
 from ledgerline.functions.columns import exact_sum
 from ledgerline.operators import dedup, scoring
 from ledgerline.operators.clean import clean
+from ledgerline.operators.drift import to_bronze_open
 from ledgerline.operators.parse import dead_letters, to_bronze
 from ledgerline.operators.risk import suspicious
 from ledgerline.operators.tables import UpsertResult, append_change, insert_new, overwrite_partitions, upsert
@@ -73,6 +74,19 @@ def run_bronze(
     return to_files(to_bronze(envelope, stream), path, checkpoint, trigger, partition, name)
 
 
+def run_bronze_open(
+    envelope: DataFrame,
+    stream: EventStream,
+    path: str,
+    checkpoint: str,
+    trigger: Trigger = AS_FAST_AS_POSSIBLE,
+    partition: str | None = "dt",
+    name: str | None = None,
+) -> StreamingQuery:
+    """As :func:`run_bronze`, with what the wire schema does not read kept in ``extra``."""
+    return to_files(to_bronze_open(envelope, stream), path, checkpoint, trigger, partition, name)
+
+
 def run_dead_letters(
     envelope: DataFrame, stream: EventStream, path: str, checkpoint: str, trigger: Trigger = AS_FAST_AS_POSSIBLE
 ) -> StreamingQuery:
