@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.session import shared_root
@@ -39,6 +39,17 @@ def labelled(docs: DataFrame, rated: DataFrame, key: str, text: str) -> DataFram
     return rows.groupBy("doc_id", "q").agg(F.min("_text").alias("t")).select(F.xxhash64("doc_id").alias("at"), "q", "t.text")
 
 
+def whole_rows(rows: DataFrame, most: int) -> list[Row]:
+    """Rows of (at, units, ...) on the driver in order of ``at``, as many as have ``most`` units together. A row that
+    does not fit any more is left out, never cut. The number of rows is bounded by the caller."""
+    rows, held, taken = saved(rows), 0, []
+    for r in sorted(rows.select("at", "units").collect()):
+        if held + r.units <= most:
+            held += r.units
+            taken.append(r.at)
+    return sorted(rows.where(F.col("at").isin(taken)).collect(), key=lambda r: r.at)
+
+
 def per_frame(step: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """``step`` on every batch of a ``mapInPandas``."""
 

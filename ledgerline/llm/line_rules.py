@@ -1,7 +1,8 @@
 """Quality rules: a linear-chain conditional random field marks each line as content or boilerplate.
 
 Every line with a word is described by a few numbers (shares of capitals, marks and digits, repetition, length,
-place). The field is fitted on the driver to at most ``train_docs`` labelled documents: a line counts as boilerplate
+place). The field is fitted on the driver to at most ``train_docs`` labelled documents, all lines of each, as long as
+they have ``TRAIN_LINES`` lines together: a line counts as boilerplate
 if its document is labelled as low quality and the line itself repeats, shouts or is full of marks, else as content.
 Viterbi decoding of every whole text then gives the likeliest marks, and a document is kept if at least
 ``least_share`` of its words lie in content lines and the base rules hold.
@@ -22,11 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import scan
-from ledgerline.llm.common import by_bytes, labelled, per_frame, table
+from ledgerline.llm.common import by_bytes, labelled, per_frame, table, whole_rows
 
 SYMBOLS = b"#*$%&|<>"
-#: Labelled documents that the field is fitted to, and lines of each.
-TRAIN_DOCS, TRAIN_LINES = 3_000, 64
+#: Labelled documents that the field is fitted to, and lines of all of them; a document takes part whole or not at all.
+TRAIN_DOCS, TRAIN_LINES = 3_000, 250_000
+#: Lines of a sequence in fitting: a longer text is several sequences.
+SEQUENCE = 64
 LEAST_SHARE = 0.5
 LEAST_WORDS, MOST_REPEATED = 50, 50
 STEPS, RATE, RIDGE = 250, 0.1, 1e-5
@@ -217,13 +220,18 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, train_docs: int
             rows = []
             for part in by_bytes(np.array([len(t) for t in texts]), scan.BLOCK):
                 lines = Lines(texts[part])
-                rows += [lines.features[f : f + min(c, TRAIN_LINES)].tobytes() for f, c in zip(lines.first, lines.count)]
-            yield pd.DataFrame({"at": frame["at"], "q": frame["q"], "f": rows})
-
-    got = labelled(docs, rated, key, text).mapInPandas(describe, "at long, q int, f binary").where("length(f) > 0").collect()
-    got.sort(key=lambda r: r.at)
-    lines = [np.frombuffer(r.f).reshape(-1, FEATURES) for r in got]
-    return Field.fitted(lines, [suspicious(f).astype(int) * (1 - r.q) for f, r in zip(lines, got)])
+                rows += [(int(c), lines.features[f : f + c].tobytes()) for f, c in zip(lines.first, lines.count)]
+            units, features = zip(*rows) if rows else ((), ())
+            yield pd.DataFrame({"at": frame["at"], "q": frame["q"], "units": units, "f": features})
+
+    described = labelled(docs, rated, key, text).mapInPandas(describe, "at long, q int, units long, f binary")
+    lines, marks = [], []
+    for r in whole_rows(described.where("units > 0"), TRAIN_LINES):
+        own = np.frombuffer(r.f).reshape(-1, FEATURES)
+        for at in range(0, len(own), SEQUENCE):
+            lines.append(own[at : at + SEQUENCE])
+            marks.append(suspicious(lines[-1]).astype(int) * (1 - r.q))
+    return Field.fitted(lines, marks)
 
 
 ADDED = {

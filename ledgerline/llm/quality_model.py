@@ -2,10 +2,12 @@
 
 Only documents carry labels. Every passage of ``PASSAGE_WORDS`` words is encoded by a small network; a gated
 attention weighs the encodings, and the weighted mean gives the document's probability of label 1. The model is
-fitted by gradient descent in numpy on the driver to at most ``train_docs`` labelled documents, then scores every
-whole text, all its passages, in the tasks that read it.
+fitted by gradient descent in numpy on the driver to at most ``train_docs`` labelled documents, all passages of each,
+as long as they have ``TRAIN_PASSAGES`` passages together, then scores every whole text in the tasks that read it.
 
-* Null and empty texts: one passage without words, which gets a score as any other.
+* Null and empty texts: one passage without words, which gets a score as any other. Very long texts: all their
+  passages are scored; a labelled one that does not fit the allowance is not learnt from.
+* Empty table: no rows.
 * No labelled training document, or one label only: the score is the share of label 1, 0.5 without any.
 * Documents whose labels contradict each other count with the smaller one. Repeated rows: one result each; an id is
   learnt from once, however many rows have it.
@@ -23,13 +25,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import scan
-from ledgerline.llm.common import by_bytes, labelled, per_frame, table
+from ledgerline.llm.common import by_bytes, labelled, per_frame, table, whole_rows
 from ledgerline.llm.line_rules import _DIGIT, _LOWER, _POINT, _SHOUT, _SYMBOL, _UPPER
 
 PASSAGE_WORDS = 96
 BUCKETS = 32
-#: Labelled documents that the model is fitted to, and passages of each.
-TRAIN_DOCS, TRAIN_PASSAGES = 4_000, 24
+#: Labelled documents that the model is fitted to, and passages of all of them; a document takes part whole or not at all.
+TRAIN_DOCS, TRAIN_PASSAGES = 4_000, 200_000
 HIDDEN, STEPS, RATE, RIDGE = 16, 300, 0.02, 1e-4
 PLAIN = 14
 FEATURES = PLAIN + BUCKETS
@@ -204,11 +206,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, train_docs: int
             texts, rows = scan.encoded(frame["text"]), []
             for part in by_bytes(np.array([len(t) for t in texts]), scan.BLOCK):
                 got = Passages(texts[part])
-                rows += [got.features[f : f + min(c, TRAIN_PASSAGES)].astype("f4").tobytes() for f, c in zip(got.first, got.count)]
-            yield pd.DataFrame({"at": frame["at"], "q": frame["q"], "f": rows})
+                rows += [(int(c), got.features[f : f + c].astype("f4").tobytes()) for f, c in zip(got.first, got.count)]
+            units, features = zip(*rows) if rows else ((), ())
+            yield pd.DataFrame({"at": frame["at"], "q": frame["q"], "units": units, "f": features})
 
-    got = labelled(docs, rated, key, text).mapInPandas(describe, "at long, q int, f binary").collect()
-    got.sort(key=lambda r: r.at)
+    described = labelled(docs, rated, key, text).mapInPandas(describe, "at long, q int, units long, f binary")
+    got = whole_rows(described, TRAIN_PASSAGES)
     bags = [np.frombuffer(r.f, dtype="f4").reshape(-1, FEATURES).astype(float) for r in got]
     return Model.fitted(bags, np.array([float(r.q) for r in got]))
 

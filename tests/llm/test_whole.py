@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerline.llm import line_rules, lm_score, quality_model
+from ledgerline.llm.common import whole_rows
 from ledgerline.llm.attention import Vocabulary
 from tests.llm.test_operators import DOCS, LABELS, sentence
 
@@ -75,3 +76,24 @@ def test_every_training_text_reaches_the_language_model(spark):
         lm_score.refined(docs, scorer)
     assert asked == [6_000]
     assert lm_score.fit(docs.limit(0)).scores(texts[:1])[0] + 5 < scorer.scores(texts[:1])[0]
+
+
+def test_classifiers_learn_from_the_ends_of_long_texts(spark):
+    """What tells the labels apart stands behind the 70th line and the 3,000th word."""
+    lines = "\n".join(f"the quiet river number {i} runs past the old mill and on" for i in range(300))
+    junk = "\n".join("BUY $$ NOW ## CHEAP %% PILLS && WIN" for _ in range(200))
+    calm = "\n".join(f"at dusk the boats of year {i} come home to the harbour" for i in range(200))
+    texts = [(i, f"{lines}\n{junk if i % 2 else calm}") for i in range(30)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(30)], "doc_id long, quality int")
+    field = line_rules.fit(docs, labels, "doc_id", "text")
+    assert field.moves.any()  # the plain field, which knows no boilerplate, has none
+    model = quality_model.fit(docs, labels, "doc_id", "text")
+    got = quality_model.scored(docs, model).collect()
+    assert all(r.predicted == 1 - r.doc_id % 2 for r in got)
+
+
+def test_allowance_takes_whole_rows_or_none(spark):
+    rows = spark.createDataFrame([(1, 5), (2, 9), (3, 4), (4, 2)], "at long, units long")
+    assert [r.at for r in whole_rows(rows, 11)] == [1, 3, 4]
+    assert whole_rows(rows.limit(0), 11) == [] and whole_rows(rows, 0) == []
