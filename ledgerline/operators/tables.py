@@ -226,7 +226,9 @@ def upsert(
     spark = session or batch.sparkSession
     keys = list(keys)
     columns = [partition] + ([BUCKET] if buckets > 1 else [])
-    batch = _bucketed(batch, keys, partition, buckets).persist(StorageLevel.MEMORY_AND_DISK)
+    batch = _bucketed(batch, keys, partition, buckets)
+    held = batch.storageLevel.useMemory  # the caller's own, to be left as it is
+    batch = batch if held else batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = batch.count()
         if rows == 0:
@@ -254,7 +256,8 @@ def upsert(
             append(rest, path, columns, session)
         return UpsertResult(rows, True)
     finally:
-        batch.unpersist()
+        if not held:
+            batch.unpersist()
 
 
 def insert_new(

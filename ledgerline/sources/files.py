@@ -47,3 +47,18 @@ def move(spark: SparkSession, source: str, target: str) -> bool:
         return False
     fs.mkdirs(new.getParent())
     return fs.rename(old, new)
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file that appears in one step; one that is there already stays."""
+    fs, target = _resolve(spark, path)
+    if fs.exists(target):
+        return
+    _, pending = _resolve(spark, f"{target.getParent()}/_{target.getName()}")
+    out = fs.create(pending, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(pending, target):
+        fs.delete(pending, False)

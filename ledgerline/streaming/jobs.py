@@ -25,6 +25,7 @@ from ledgerline.operators.parse import dead_letters, to_bronze
 from ledgerline.operators.risk import suspicious
 from ledgerline.operators.tables import UpsertResult, append_change, insert_new, overwrite_partitions, upsert
 from ledgerline.schemas import EventStream
+from ledgerline.streaming.progress import measured
 
 Trigger = Mapping[str, object]
 # Default of the bronze jobs: the next micro-batch starts when the last one is done.
@@ -49,9 +50,11 @@ def to_files(
     trigger: Trigger = AS_FAST_AS_POSSIBLE,
     partition: str | None = "dt",
     name: str | None = None,
+    measure: bool = False,
 ) -> StreamingQuery:
-    """Append-only parquet sink."""
-    writer = rows.writeStream.format("parquet").option("path", path)
+    """Append-only parquet sink. With ``measure`` the listeners learn what each micro-batch wrote
+    (:mod:`~ledgerline.streaming.progress`)."""
+    writer = (measured(rows) if measure else rows).writeStream.format("parquet").option("path", path)
     if partition:
         writer = writer.partitionBy(partition)
     return _start(writer, name, checkpoint, trigger)
@@ -65,13 +68,14 @@ def run_bronze(
     trigger: Trigger = AS_FAST_AS_POSSIBLE,
     partition: str | None = "dt",
     name: str | None = None,
+    measure: bool = False,
 ) -> StreamingQuery:
     """One topic of the message log into its bronze table: parse, type the event time, append. No shuffle and no
     Python callback in the path.
 
     A task writes one file per date it meets. A replay of many years is better landed with ``partition=None``.
     """
-    return to_files(to_bronze(envelope, stream), path, checkpoint, trigger, partition, name)
+    return to_files(to_bronze(envelope, stream), path, checkpoint, trigger, partition, name, measure)
 
 
 def run_bronze_open(
@@ -125,12 +129,13 @@ def _upsert_batch(
             append_change(batch, log_path, batch_id, run)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if undated_path is None:
-            upsert(batch, path, stream.keys, buckets=buckets, session=session)
-            logged(batch, batch_id)
-            return
+        # Held for both writes, so that the state is asked once and a measured job counts each row once.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if undated_path is None:
+                upsert(batch, path, stream.keys, buckets=buckets, session=session)
+                logged(batch, batch_id)
+                return
             undated = batch.filter(F.col("dt").isNull()).drop("dt").withColumn("batch_id", F.lit(batch_id))
             overwrite_partitions(undated, f"{undated_path}/run={run}", "batch_id")
             upsert(batch.filter(F.col("dt").isNotNull()), path, stream.keys, buckets=buckets, session=session)
@@ -154,6 +159,7 @@ def run_silver(
     log_path: str | None = None,
     buckets: int = 1,
     name: str | None = None,
+    measure: bool = False,
 ) -> StreamingQuery:
     """Bronze appends into the silver table: the first arrival of a key is written; a replay under a new
     checkpoint overwrites by key.
@@ -165,9 +171,12 @@ def run_silver(
 
     ``log_path`` is an append-only log of the accepted rows, one folder per micro-batch. Streams over silver read
     it (:func:`~ledgerline.sources.streams.change_log`): the table's own files are replaced by upserts and
-    compaction, and a stream of them would see rows again. ``buckets`` divides each date of the table.
+    compaction, and a stream of them would see rows again. ``buckets`` divides each date of the table. ``measure`` as
+    in :func:`to_files`.
     """
     rows = silver_rows(bronze, stream, watermark, bounded, salts)
+    if measure:
+        rows = measured(rows)
     writer = rows.writeStream.foreachBatch(_upsert_batch(bronze.sparkSession, stream, path, checkpoint, undated_path, log_path, buckets))
     return _start(writer, name, checkpoint, trigger)
 

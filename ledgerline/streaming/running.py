@@ -91,7 +91,7 @@ def run_hour_totals(
     run = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # The upsert holds the batch while it runs; the log is written from the same totals.
+        # Held for both writes: the log is written from the same totals.
         held = batch.persist()
         try:
             if held.isEmpty():
