@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerline import schemas
 from ledgerline.operators.dedup import one_per_key
@@ -82,6 +82,8 @@ def replace_table(df: DataFrame, table: str, partition_by: str | None = None) ->
 
 # Folder inside a table for rewritten partitions; readers pass over names that begin with an underscore.
 STAGED = "_staged"
+# The same for the files that a compaction has merged, with the list of those they replace.
+MERGED = "_merged"
 BUCKET = "bucket"
 
 
@@ -109,6 +111,7 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str | Sequence[str
 
 def finish_rewrite(spark: SparkSession, path: str, schema: StructType, columns: Sequence[str]) -> None:
     """Puts a complete set of staged partitions in place, and drops an incomplete one. Harmless to repeat."""
+    finish_merge(spark, path)
     staged = f"{path}/{STAGED}"
     if not files.exists(spark, staged):
         return
@@ -302,8 +305,57 @@ def compact(spark: SparkSession, path: str, partition: str = "dt", values: Seque
     rewrite(table, path, columns)
 
 
+def compact_small(
+    spark: SparkSession, path: str, partition: str = "dt", limit: int = 64 << 20, values: Sequence | None = None
+) -> int:
+    """Merges the files below ``limit`` bytes of each partition (of ``values``, default: all) that has two or more of
+    them; larger files and partitions without small ones are neither read nor written. Returns the files replaced.
+
+    The merged files are complete before the first old one goes. A job that dies in between is finished by the next
+    write or :func:`finish_merge`; until then readers miss rows, but see none twice. The driver holds the names of
+    the small files, as it does those of all files in any scan.
+    """
+    table = _whole(spark, path)
+    columns = [partition] + ([BUCKET] if BUCKET in table.columns else [])
+    finish_rewrite(spark, path, table.schema, columns)
+    small = files.data_files(spark, path).filter(F.col("bytes") < limit)
+    small = small.withColumn("folder", F.regexp_replace("file", "/[^/]+$", ""))
+    if values is not None:
+        folders = files.partition_values(spark, path, partition)
+        wanted = [folders[str(v)] for v in values if str(v) in folders]
+        inside = F.lit(False)
+        for folder in wanted:
+            inside = inside | F.concat("folder", F.lit("/")).startswith(files.plain(F.concat(F.lit(folder), F.lit("/"))))
+        small = small.filter(inside)
+    chosen = small.groupBy("folder").agg(F.collect_list("file").alias("names")).filter(F.size("names") > 1)
+    names = [r.file for r in chosen.select(F.explode("names").alias("file")).collect()]
+    if not names:
+        return 0
+    # Partition values as the folders spell them, so that the merged files land in the same folders.
+    schema = StructType([StructField(f.name, StringType()) if f.name in columns else f for f in table.schema])
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*names)
+    merged = f"{path}/{MERGED}"
+    spark.createDataFrame([(n,) for n in names], "file string").write.mode("overwrite").parquet(f"{merged}/replaced")
+    gathered(rows, columns).write.mode("overwrite").partitionBy(*columns).parquet(f"{merged}/files")
+    finish_merge(spark, path)
+    return len(names)
+
+
+def finish_merge(spark: SparkSession, path: str) -> None:
+    """Puts complete merged files in the place of those they replace, and drops incomplete ones. Harmless to repeat."""
+    merged = f"{path}/{MERGED}"
+    if not files.exists(spark, merged):
+        return
+    if files.exists(spark, f"{merged}/files/_SUCCESS"):
+        for row in spark.read.schema("file string").parquet(f"{merged}/replaced").collect():
+            files.drop_file(spark, row.file)
+        files.move_files(spark, f"{merged}/files", path)
+    files.drop_folder(spark, merged)
+
+
 def retain(spark: SparkSession, path: str, cutoff: dt.date, partition: str = "dt") -> list[str]:
     """Drops the date partitions before ``cutoff``, as folders and without reading a row; the values dropped."""
+    finish_merge(spark, path)
     found = files.partition_values(spark, path, partition)
     expired = sorted(v for v in found if v[:1].isdigit() and dt.date.fromisoformat(v) < cutoff)
     for value in expired:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _resolve(spark: SparkSession, path: str):
@@ -62,3 +63,32 @@ def put_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
     if not fs.rename(pending, target):
         fs.delete(pending, False)
+
+
+def data_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, bytes) of every parquet file of the table at ``path``; the files are not opened."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    return listed.load(path).select(plain(F.col("path")).alias("file"), F.col("length").alias("bytes"))
+
+
+def plain(path: Column) -> Column:
+    """One spelling of a file's address, whichever part of Spark names it."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def drop_file(spark: SparkSession, path: str) -> None:
+    fs, target = _resolve(spark, path)
+    fs.delete(target, False)
+
+
+def move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Moves the parquet files below ``source`` to the same places below ``target``. Harmless to repeat."""
+    fs, top = _resolve(spark, source)
+    root = fs.makeQualified(top).toString()
+    found = fs.listFiles(top, True)
+    while found.hasNext():
+        old = found.next().getPath()
+        if old.getName().endswith(".parquet"):
+            _, new = _resolve(spark, f"{target}/{old.toString()[len(root) + 1 :]}")
+            fs.mkdirs(new.getParent())
+            fs.rename(old, new)
