@@ -14,20 +14,22 @@ import numpy as np
 
 from ledgerline.llm.bytepair import ragged
 
-WIDTH, HIDDEN, MIXTURE = 24, 64, 48
+WIDTH, HIDDEN, MIXTURE = 16, 32, 32
 WINDOW, STRIDE = 32, 26
-#: Windows that go through the model together.
-BATCH = 128
+#: Windows that go through the model together, and in a training step.
+BATCH, STEP = 128, 128
+#: Steps after which the distributions move, and the part of the mean of all in each of them.
+EVERY, FAITH = 2, 0.02
 
 
-def summed(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Sums of ``values`` by row number."""
-    out = np.zeros((n, values.shape[1]), dtype=values.dtype)
-    if len(rows):
-        order = np.argsort(rows, kind="stable")
-        first = np.flatnonzero(np.diff(rows[order], prepend=-1))
-        out[rows[order[first]]] = np.add.reduceat(values[order], first, axis=0)
-    return out
+def summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The row numbers that occur, and the sums of their values."""
+    if not len(rows):
+        return rows, values
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    first = np.flatnonzero(np.diff(rows, prepend=-1))
+    return rows[first], np.add.reduceat(values[order], first, axis=0)
 
 
 @dataclass
@@ -68,7 +70,7 @@ class Windows:
         """A text's inputs are the end id and its ids, its targets its ids and the end id; each is scored once."""
         n = counts + 1
         head = np.cumsum(n + 1) - (n + 1)
-        flat = np.full(int((n + 1).sum()), end, dtype=np.int64)
+        flat = np.full(int((n + 1).sum()), end, dtype=np.int32)
         flat[ragged(head + 1, counts)] = ids
         many = np.where(n <= window, 1, 1 + -(-(n - window) // stride))
         doc = np.repeat(np.arange(len(counts)), many)
@@ -81,10 +83,11 @@ class Windows:
 
 
 class Attention:
-    """Parameters and passes of the model."""
+    """Parameters and passes of the model. ``W`` holds an id's embedding and what it adds to the hidden layer as the
+    present and as the previous id; ``share`` is the joint share of each (entry, distribution) in all words so far."""
 
-    def __init__(self, theta: dict[str, np.ndarray]):
-        self.theta = theta
+    def __init__(self, theta: dict[str, np.ndarray], share: np.ndarray):
+        self.theta, self.share = theta, share
         self.mask = np.triu(np.full((WINDOW, WINDOW), -1e9, dtype=np.float32), 1)
 
     @classmethod
@@ -95,10 +98,11 @@ class Attention:
             return random.normal(0, 1 / np.sqrt(shape[0]), shape).astype(np.float32)
 
         entries = len(unigram)
-        noise = random.normal(0, 0.5, (MIXTURE, entries))
+        wide = np.concatenate([np.full(WIDTH, 0.3), np.full(2 * HIDDEN, 0.1)])
+        share = unigram[:, None] * np.exp(random.normal(0, 0.5, (entries, MIXTURE)))
         return cls(
             {
-                "E": random.normal(0, 0.3, (entries, WIDTH)).astype(np.float32),
+                "W": (random.normal(0, 1, (entries, len(wide))) * wide).astype(np.float32),
                 "P": random.normal(0, 0.1, (WINDOW, WIDTH)).astype(np.float32),
                 "Q": start(WIDTH, WIDTH),
                 "K": start(WIDTH, WIDTH),
@@ -106,18 +110,17 @@ class Attention:
                 "O": start(WIDTH, WIDTH),
                 "H": start(WIDTH, HIDDEN),
                 "h": np.zeros(HIDDEN, dtype=np.float32),
-                "T": random.normal(0, 0.1, (entries, HIDDEN)).astype(np.float32),
-                "S": random.normal(0, 0.1, (entries, HIDDEN)).astype(np.float32),
                 "M": start(HIDDEN, MIXTURE),
                 "m": np.zeros(MIXTURE, dtype=np.float32),
-                "B": (np.log(unigram) + noise).astype(np.float32),
-            }
+            },
+            share / share.sum(),
         )
 
     def forward(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
         """From entries [windows, WINDOW]; ``pi`` are the mixture weights of each position."""
         t, shape = self.theta, inputs.shape
-        x = t["E"][inputs] + t["P"]
+        held = t["W"][inputs]
+        x = held[..., :WIDTH] + t["P"]
         rows = x.reshape(-1, WIDTH)
         joint = rows @ np.concatenate([t["Q"] * np.float32(WIDTH**-0.5), t["K"], t["V"]], axis=1)
         q, k, v = (joint[:, i * WIDTH : (i + 1) * WIDTH].reshape(*shape, WIDTH) for i in range(3))
@@ -128,9 +131,9 @@ class Attention:
         a /= a.sum(axis=2, keepdims=True) + np.float32(1e-30)
         mixed = (a @ v).reshape(-1, WIDTH)
         r = rows + mixed @ t["O"]
-        u = (r @ t["H"]).reshape(*shape, HIDDEN)
-        u += t["h"] + t["T"][inputs]
-        u[:, 1:] += t["S"][inputs[:, :-1]]
+        u = (r @ t["H"] + t["h"]).reshape(*shape, HIDDEN)
+        u += held[..., WIDTH : WIDTH + HIDDEN]
+        u[:, 1:] += held[:, :-1, WIDTH + HIDDEN :]
         u = np.maximum(u, 0, out=u).reshape(-1, HIDDEN)
         z = u @ t["M"] + t["m"]
         z -= z.max(axis=1, keepdims=True)
@@ -140,34 +143,32 @@ class Attention:
         return {"x": x, "q": q, "k": k, "v": v, "a": a, "mixed": wide(mixed), "r": wide(r), "u": wide(u), "pi": wide(z)}
 
     def tables(self) -> np.ndarray:
-        """The unigram distributions as [entries, MIXTURE]."""
-        b = self.theta["B"].astype(np.float64)
-        b = np.exp(b - b.max(axis=1, keepdims=True))
-        return np.ascontiguousarray((b / b.sum(axis=1, keepdims=True)).T.astype(np.float32))
-
-    def slopes(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
-        """Gradient of the mean log loss of the scored targets, and the loss."""
-        t, f, b = self.theta, self.forward(inputs), self.tables()
-        joint = f["pi"] * b[targets]
+        """The unigram distributions as [entries, MIXTURE]; what one has not seen it takes from the mean of all."""
+        near = self.share + FAITH * self.share.mean(axis=1, keepdims=True) + 1e-12
+        return (near / near.sum(axis=0)).astype(np.float32)
+
+    def slopes(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, tables: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
+        """Gradient of the mean log loss of the scored targets, how much of each target each distribution accounts
+        for, and the loss. The gradient of ``W`` is one row for each position of the inputs."""
+        t, f = self.theta, self.forward(inputs)
+        joint = f["pi"] * tables[targets]
         p = joint.sum(axis=2)
         n = max(int(scored.sum()), 1)
-        duty = joint / p[..., None] * scored[..., None]
+        duty = joint * (scored / p)[..., None]
         dz = (f["pi"] * scored[..., None] - duty) / n
-        counts = summed(targets[scored], duty[scored], b.shape[0])
-        db = (counts.sum(axis=0)[:, None] * b.T - counts.T) / n
         flat = lambda a: a.reshape(-1, a.shape[-1])
-        dpre = (dz @ t["M"].T) * (f["u"] > 0)
-        dr = dpre @ t["H"].T
-        dmix = dr @ t["O"].T
+        dpre = (flat(dz) @ t["M"].T).reshape(f["u"].shape) * (f["u"] > 0)
+        dr = (flat(dpre) @ t["H"].T).reshape(f["r"].shape)
+        dmix = (flat(dr) @ t["O"].T).reshape(f["r"].shape)
         da = dmix @ f["v"].transpose(0, 2, 1)
         dv = f["a"].transpose(0, 2, 1) @ dmix
-        ds = f["a"] * (da - (da * f["a"]).sum(axis=2, keepdims=True)) 
+        ds = f["a"] * (da - (da * f["a"]).sum(axis=2, keepdims=True))
         dq, dk = ds @ f["k"] * np.float32(WIDTH**-0.5), ds.transpose(0, 2, 1) @ f["q"]
-        dx = dr + dq @ t["Q"].T + dk @ t["K"].T + dv @ t["V"].T
+        dx = dr + (flat(dq) @ t["Q"].T + flat(dk) @ t["K"].T + flat(dv) @ t["V"].T).reshape(dr.shape)
+        after = np.zeros_like(dpre)
+        after[:, :-1] = dpre[:, 1:]
         out = {
-            "E": summed(inputs.ravel(), flat(dx), len(t["E"])),
-            "T": summed(inputs.ravel(), flat(dpre), len(t["T"])),
-            "S": summed(inputs[:, :-1].ravel(), flat(dpre[:, 1:]), len(t["S"])),
+            "W": np.concatenate([flat(dx), flat(dpre), flat(after)], axis=1),
             "P": dx.sum(axis=0),
             "Q": flat(f["x"]).T @ flat(dq),
             "K": flat(f["x"]).T @ flat(dk),
@@ -177,58 +178,48 @@ class Attention:
             "h": flat(dpre).sum(axis=0),
             "M": flat(f["u"]).T @ flat(dz),
             "m": flat(dz).sum(axis=0),
-            "B": db,
         }
-        return out, float(-np.log(p[scored]).sum() / n)
-
-    def train(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, passes: int, rate: float, seed: int = 5) -> list[float]:
-        """Adam over shuffled batches; returns each pass's mean loss."""
-        random, losses, steps = np.random.default_rng(seed), [], Steps(self)
-        size = 64
-        total = max(1, passes * -(-len(inputs) // size))
-        for _ in range(passes):
-            order, seen = random.permutation(len(inputs)), []
-            for at in range(0, len(order), size):
-                rows = order[at : at + size]
-                pace = rate * (1 - 0.9 * (steps.taken + 1) / total)
-                seen.append(steps.take(inputs[rows], targets[rows], scored[rows], pace))
-            losses.append(float(np.mean(seen)))
-        return losses
-
-    def duties(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, tables: np.ndarray) -> np.ndarray:
-        """How much of each entry's occurrences each distribution accounts for, [entries, MIXTURE]."""
-        joint = self.forward(inputs)["pi"] * tables[targets]
-        joint /= joint.sum(axis=2, keepdims=True)
-        out = np.zeros(tables.shape)
-        rows, held = targets[scored], joint[scored]
-        for k in range(MIXTURE):
-            out[:, k] = np.bincount(rows, weights=held[:, k], minlength=len(out))
-        return out
+        return out, duty, float(-np.log(p[scored]).sum() / n)
 
     def logs(self, inputs: np.ndarray, targets: np.ndarray, tables: np.ndarray) -> np.ndarray:
         """log10 of the probability of each target's entry."""
-        p = self.forward(inputs)["pi"]
-        p *= tables[targets]
-        p = p.sum(axis=2)
+        p = np.einsum("wpk,wpk->wp", self.forward(inputs)["pi"], tables[targets])
         return np.log10(np.maximum(p, 1e-30))
 
 
 class Steps:
-    """Adam steps on a model's parameters."""
+    """Adam steps on a model's weights; its distributions follow by stepwise expectation and maximisation.
 
-    def __init__(self, model: Attention):
-        self.model, self.taken = model, 0
+    ``duty`` adds up what every step's targets gave each distribution.
+    """
+
+    def __init__(self, model: Attention, pace: float, mix: float):
+        self.model, self.pace, self.mix, self.taken = model, pace, mix, 0
         self.moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.theta.items()}
+        self.duty, self.fresh = np.zeros(model.share.shape), np.zeros(model.share.shape)
+        self.tables = model.tables()
 
-    def take(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, pace: float) -> float:
+    def take(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> float:
         """One step on a batch; returns its mean loss."""
-        slopes, loss = self.model.slopes(inputs, targets, scored)
+        slopes, duty, loss = self.model.slopes(inputs, targets, scored, self.tables)
         self.taken += 1
-        for k, slope in slopes.items():
+        rows, wide = summed(inputs.ravel(), slopes.pop("W"))
+        for k, at, slope in [("W", rows, wide), *((k, slice(None), v) for k, v in slopes.items())]:
             m, v = self.moment[k]
-            m += 0.1 * (slope - m)
-            v += 0.01 * (slope * slope - v)
-            own = pace * (4 if k == "B" else 1)
-            step = own * (m / (1 - 0.9**self.taken)) / (np.sqrt(v / (1 - 0.99**self.taken)) + 1e-8)
-            self.model.theta[k] -= step.astype(np.float32)
+            m[at] = own = m[at] + 0.1 * (slope - m[at])
+            v[at] = square = v[at] + 0.01 * (slope * slope - v[at])
+            step = self.pace * (own / (1 - 0.9**self.taken)) / (np.sqrt(square / (1 - 0.99**self.taken)) + 1e-8)
+            self.model.theta[k][at] -= step.astype(np.float32)
+        rows, counts = summed(targets[scored], duty[scored])
+        self.fresh[rows] += counts
+        if self.taken % EVERY == 0:
+            self.settle()
         return loss
+
+    def settle(self) -> None:
+        """Moves the distributions towards the duties of the last steps."""
+        if n := self.fresh.sum():
+            self.model.share = (1 - self.mix) * self.model.share + self.mix / n * self.fresh
+            self.duty += self.fresh
+            self.fresh[:] = 0
+            self.tables = self.model.tables()

@@ -1,15 +1,17 @@
 """Language-model scores of whole texts.
 
 A text is its words in lower case (A-Z), each with one blank before it, as subword ids of a public vocabulary, and an
-end. ``fit`` counts the ids of all training documents and trains the attention model (``attention.py``) on all of
-them: in each of ``ROUNDS`` rounds every task takes gradient steps on its share of the texts and the tasks' weights
-are averaged, each text in one round. Then all training documents re-estimate the model's word distributions
-(``refined``). No text reaches the driver. The weights depend on how the input is dealt into partitions. ``scored`` runs
-all windows of every text through the model. ``word_counts`` gives the unigram base over all training documents.
+end. Ids are made once and kept. ``fit`` counts the ids of all training documents and trains the attention model
+(``attention.py``) on all of them: in each of ``ROUNDS`` rounds every task takes gradient steps on its share of the
+texts, each text in one round; the tasks' weights are averaged, and the model's word distributions are estimated from
+the duties of all words of the round. No text reaches the driver. The weights depend on how the input is dealt into
+partitions. ``scored`` runs all windows of every text through the model. ``word_counts`` gives the unigram base over all
+training documents.
 
 * Null and empty texts: no words, the end alone is scored. Null ids count as training documents.
+* Very long texts: a row holds a text and its ids, and the windows of one text are held at a time.
 * Repeated rows: each learns and each gets a result; rows that share an id but not the text are told apart.
-* No training document: counts are zero, the model is the untrained one over equally likely ids.
+* No training document: counts are zero, the model is the untrained one over equally likely ids. An empty table gives none.
 * Columns beside the id and the text are ignored.
 """
 
@@ -23,15 +25,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.attention import BATCH, Attention, Steps, Vocabulary, Windows
+from ledgerline.llm.attention import BATCH, STEP, WINDOW, Attention, Steps, Vocabulary, Windows
 from ledgerline.llm.bpe_codec import VOCABULARY, encoder
 from ledgerline.llm.bytepair import merges, slices
-from ledgerline.llm.common import saved, table
+from ledgerline.llm.common import by_bytes, saved, table
 from ledgerline.llm.word_counts import lowered, unigram
 
-SHOWN, ROUNDS, RATE = 4_096, 4, 0.02
+SHOWN, ROUNDS, RATE = 4_096, 4, 0.04
 #: Numbers in a piece of a task's answer, and input partitions that a training task reads.
-PIECE, GATHERED = 1 << 15, 8
+PIECE, GATHERED = 1 << 12, 8
+#: Ids whose windows are held together.
+HELD = 1 << 20
 
 
 def held_out(key: str) -> Column:
@@ -48,6 +52,36 @@ def encode(texts, vocabulary: str) -> Iterator[tuple[slice, np.ndarray, np.ndarr
         yield part, ids, counts
 
 
+def encoded(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Rows with a text, with its ``ids`` (little-endian, two or four bytes each) and ``n_words`` in its place."""
+    kind = _id_type(vocabulary)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            words = [len(t.split()) for t in lowered(frame["text"])]
+            for part, ids, counts in encode(frame["text"], vocabulary):
+                ends = np.cumsum(counts)
+                ids = ids.astype(kind)
+                held = [ids[e - n : e].tobytes() for e, n in zip(ends, counts)]
+                yield frame.iloc[part].drop(columns="text").assign(ids=held, n_words=words[part])
+
+    kept = ", ".join(f"`{n}` {k}" for n, k in docs.dtypes if n != "text")
+    return docs.mapInPandas(run, f"{kept}, ids binary, n_words long")
+
+
+def _id_type(vocabulary: str) -> str:
+    return "<u2" if merges(public_tokenizers.path(vocabulary)).size < 1 << 16 else "<u4"
+
+
+def held_ids(rows, vocabulary: str) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Slices of rows of stored ids with their ids and how many each row has."""
+    kind = np.dtype(_id_type(vocabulary))
+    rows = list(rows)
+    sizes = np.array([len(r) // kind.itemsize for r in rows], dtype=np.int64)
+    for part in by_bytes(sizes, HELD):
+        yield part, np.frombuffer(b"".join(rows[part]), dtype=kind).astype(np.int32), sizes[part]
+
+
 class Scorer:
     """A fitted model with its vocabulary; ``end`` is the id after the vocabulary's last."""
 
@@ -55,31 +89,24 @@ class Scorer:
         self.model, self.words, self.end, self.vocabulary = model, words, end, vocabulary
         self.tables = model.tables()
 
-    def _batches(self, ids: np.ndarray, counts: np.ndarray) -> Iterator[tuple[Windows, np.ndarray, np.ndarray]]:
-        windows = Windows.of(ids, counts, self.end)
-        for at in range(0, len(windows.doc), BATCH):
-            cut = slice(at, at + BATCH)
-            own = Windows(windows.inputs[cut], windows.targets[cut], windows.scored[cut], windows.doc[cut])
-            yield own, self.words.place[own.inputs], self.words.place[own.targets]
-
-    def scores(self, texts) -> np.ndarray:
-        """log10 probability of each text."""
+    def of_ids(self, rows) -> np.ndarray:
+        """log10 probability of each row of stored ids."""
         out = []
-        for _, ids, counts in encode(texts, self.vocabulary):
-            total = np.zeros(len(counts))
-            for own, inputs, targets in self._batches(ids, counts):
-                logs = (self.model.logs(inputs, targets, self.tables) + self.words.share[own.targets]) * own.scored
-                total += np.bincount(own.doc, weights=logs.sum(axis=1), minlength=len(counts))
+        for _, ids, counts in held_ids(rows, self.vocabulary):
+            total, w = np.zeros(len(counts)), Windows.of(ids, counts, self.end)
+            for at in range(0, len(w.doc), BATCH):
+                cut = slice(at, at + BATCH)
+                inputs, targets = self.words.place[w.inputs[cut]], w.targets[cut]
+                logs = self.model.logs(inputs, self.words.place[targets], self.tables) + self.words.share[targets]
+                total += np.bincount(w.doc[cut], weights=(logs * w.scored[cut]).sum(axis=1), minlength=len(counts))
             out.append(total)
         return np.concatenate(out) if out else np.zeros(0)
 
-    def duties(self, texts) -> np.ndarray:
-        """Duties of the distributions over the texts."""
-        duty = np.zeros(self.tables.shape)
-        for _, ids, counts in encode(texts, self.vocabulary):
-            for own, inputs, targets in self._batches(ids, counts):
-                duty += self.model.duties(inputs, targets, own.scored, self.tables)
-        return duty
+    def scores(self, texts) -> np.ndarray:
+        """log10 probability of each text."""
+        kind = _id_type(self.vocabulary)
+        parts = encode(texts, self.vocabulary)
+        return self.of_ids([x.astype(kind).tobytes() for _, ids, n in parts for x in np.split(ids, np.cumsum(n)[:-1])])
 
 
 def _pieces(vector: np.ndarray, weight: float) -> pd.DataFrame:
@@ -90,23 +117,30 @@ def _pieces(vector: np.ndarray, weight: float) -> pd.DataFrame:
 
 def _added(texts: DataFrame, task, kind: str) -> tuple[np.ndarray, float]:
     """Weighted sum of the vectors of numbers of ``kind`` that the tasks send in pieces, and the sum of the weights.
-    A piece is added up by one group, so no task holds more than one piece of each other one."""
+    Pieces are added as they arrive, so a task holds its sums and one batch of pieces, however many tasks send some."""
 
-    def add(frame: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, dtype=kind).astype("f8") * w for x, w in zip(frame["sums"], frame["weight"]))
-        return pd.DataFrame({"k": frame["k"][:1], "sums": [total.tobytes()], "weight": [frame["weight"].sum()]})
+    def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, list] = {}
+        for frame in frames:
+            for k, piece, weight in zip(frame["k"], frame["sums"], frame["weight"]):
+                own = np.frombuffer(piece, dtype=kind).astype("f8") * weight
+                held = sums.setdefault(int(k), [np.zeros(len(own)), 0.0])
+                held[0] += own
+                held[1] += weight
+        rows = [(k, total.tobytes(), weight) for k, (total, weight) in sums.items()]
+        yield pd.DataFrame(rows, columns=["k", "sums", "weight"])
 
     schema = "k int, sums binary, weight double"
-    got = texts.mapInPandas(task, schema).groupBy("k").applyInPandas(add, schema).collect()
+    got = texts.mapInPandas(task, schema).repartition("k").mapInPandas(add, schema).collect()
     got.sort(key=lambda r: r.k)
     return np.concatenate([np.frombuffer(bytes(r.sums)) for r in got] or [np.zeros(0)]), got[0].weight if got else 0.0
 
 
-def learnt(docs: DataFrame) -> DataFrame:
-    """(mark, text) of all training documents, several input partitions to a task: each task answers with a model."""
-    rows = docs.where("train").select("mark", "text")
+def learnt(rows: DataFrame) -> DataFrame:
+    """(mark, ids) of all training documents, several input partitions to a task: each task answers with a model."""
+    rows = rows.where("train").select("mark", "ids")
     parts = rows.rdd.getNumPartitions()
-    return rows.coalesce(max(1, parts // GATHERED, min(parts, docs.sparkSession.sparkContext.defaultParallelism)))
+    return rows.coalesce(max(1, parts // GATHERED, min(parts, rows.sparkSession.sparkContext.defaultParallelism)))
 
 
 def counted(texts: DataFrame, end: int, vocabulary: str) -> np.ndarray:
@@ -115,7 +149,7 @@ def counted(texts: DataFrame, end: int, vocabulary: str) -> np.ndarray:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         count = np.zeros(end + 1)
         for frame in frames:
-            for _, ids, counts in encode(frame["text"], vocabulary):
+            for _, ids, counts in held_ids(frame["ids"], vocabulary):
                 count += np.bincount(ids, minlength=len(count))
                 count[end] += len(counts)
         if count.any():
@@ -125,46 +159,44 @@ def counted(texts: DataFrame, end: int, vocabulary: str) -> np.ndarray:
     return total if len(total) else np.zeros(end + 1)
 
 
-def trained(texts: DataFrame, scorer: Scorer, pace: float, turn: int) -> Scorer:
+def trained(texts: DataFrame, scorer: Scorer, pace: float, mix: float, turn: int) -> Scorer:
     """The model after one round: each task takes gradient steps on all windows of its texts, beginning with the same
-    weights, and the means of their weights, by windows, are the new ones."""
+    weights. The new weights are the means of theirs, by windows; the new distributions are what all words of the
+    round, by the duties found in those steps, make of them."""
     shared = texts.sparkSession.sparkContext.broadcast(scorer)
-    shapes = {k: v.shape for k, v in scorer.model.theta.items()}
+    shapes = {**{k: v.shape for k, v in scorer.model.theta.items()}, "duty": scorer.model.share.shape}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, random, held, seen = shared.value, np.random.default_rng(turn), None, 0
-        model = Attention({k: v.copy() for k, v in own.model.theta.items()})
-        steps = Steps(model)
+        own, random, seen = shared.value, np.random.default_rng(turn), 0
+        model = Attention({k: v.copy() for k, v in own.model.theta.items()}, own.model.share)
+        steps = Steps(model, pace, mix)
         for frame in frames:
-            for _, ids, counts in encode(frame["text"], own.vocabulary):
-                w = Windows.of(ids, counts, own.end)
-                more = [own.words.place[w.inputs], own.words.place[w.targets], w.scored]
+            for _, ids, counts in held_ids(frame["ids"], own.vocabulary):
+                w = Windows.of(ids, counts, own.end, stride=WINDOW)
                 order = random.permutation(len(w.doc))
                 seen += len(order)
-                more = [x[order] for x in more]
-                held = more if held is None else [np.concatenate(x) for x in zip(held, more)]
-                full = len(held[0]) // BATCH * BATCH
-                for at in range(0, full, BATCH):
-                    steps.take(*(x[at : at + BATCH] for x in held), pace)
-                held = [x[full:] for x in held]
+                for at in range(0, len(order), STEP):
+                    rows = order[at : at + STEP]
+                    steps.take(own.words.place[w.inputs[rows]], own.words.place[w.targets[rows]], w.scored[rows])
         if seen:
-            if len(held[0]):
-                steps.take(*held, pace)
-            yield _pieces(np.concatenate([model.theta[k].ravel() for k in shapes]), float(seen))
+            steps.settle()
+            found = [*(model.theta[k].ravel() for k in model.theta), steps.duty.ravel() / seen]
+            yield _pieces(np.concatenate(found).astype("f4"), float(seen))
 
     total, weight = _added(texts, run, "f4")
     if not weight:
         return scorer
     ends = np.cumsum([int(np.prod(s)) for s in shapes.values()])
-    parts = np.split((total / weight).astype(np.float32), ends[:-1])
-    theta = {k: x.reshape(s) for (k, s), x in zip(shapes.items(), parts)}
-    return Scorer(Attention(theta), scorer.words, scorer.end, scorer.vocabulary)
+    parts = {k: x.reshape(s) for (k, s), x in zip(shapes.items(), np.split(total / weight, ends[:-1]))}
+    duty = parts.pop("duty")
+    model = Attention({k: x.astype(np.float32) for k, x in parts.items()}, duty / duty.sum())
+    return Scorer(model, scorer.words, scorer.end, scorer.vocabulary)
 
 
-def fit(docs: DataFrame, rounds: int = ROUNDS, vocabulary: str = VOCABULARY) -> Scorer:
-    """The model from all training rows of (mark, train, text): the shown ids are the most frequent of all texts, and
+def fit(rows: DataFrame, rounds: int = ROUNDS, vocabulary: str = VOCABULARY) -> Scorer:
+    """The model from all training rows of (mark, train, ids): the shown ids are the most frequent of all texts, and
     every text takes part in the gradient steps of one of the ``rounds``, by its hash."""
-    texts = learnt(docs)
+    texts = learnt(rows)
     end = merges(public_tokenizers.path(vocabulary)).size
     count = counted(texts, end, vocabulary)
     words = Vocabulary.of(count, SHOWN)
@@ -172,47 +204,29 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, vocabulary: str = VOCABULARY) ->
     scorer = Scorer(Attention.new(entry / entry.sum()), words, end, vocabulary)
     for turn in range(rounds):
         own = texts.where(F.pmod(F.xxhash64("mark"), F.lit(rounds)) == turn)
-        scorer = trained(own, scorer, RATE * (1 - 0.9 * turn / rounds), turn)
+        scorer = trained(own, scorer, RATE * (1 - 0.9 * turn / rounds), 0.2 / (1 + 2 * turn), turn)
     return scorer
 
 
-def refined(docs: DataFrame, scorer: Scorer) -> Scorer:
-    """Distributions re-estimated from all training documents: one step of expectation and maximisation."""
-    shared, shape = docs.sparkSession.sparkContext.broadcast(scorer), scorer.tables.shape
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        duty = np.zeros(shape)
-        for frame in frames:
-            duty += shared.value.duties(frame["text"])
-        if duty.any():
-            yield _pieces(duty.ravel(), 1.0)
-
-    duty, weight = _added(learnt(docs), run, "f8")
-    if not weight:
-        return scorer
-    theta = dict(scorer.model.theta)
-    theta["B"] = np.log(duty.reshape(shape).T + 20 * scorer.tables.T + 1e-12).astype(np.float32)
-    return Scorer(Attention(theta), scorer.words, scorer.end, scorer.vocabulary)
-
-
-def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
-    """(doc_id, mark, n_words, score) of every row of (doc_id, mark, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)
+def scored(rows: DataFrame, scorer: Scorer) -> DataFrame:
+    """(doc_id, mark, n_words, score) of every row of (doc_id, mark, n_words, ids)."""
+    shared = rows.sparkSession.sparkContext.broadcast(scorer)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            n = [len(t.split()) for t in lowered(frame["text"])]
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "mark": frame["mark"], "n_words": n, "score": shared.value.scores(frame["text"])})
+            yield frame[["doc_id", "mark", "n_words"]].assign(score=shared.value.of_ids(frame["ids"]))
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "mark", "text").mapInPandas(run, f"doc_id {kind}, mark long, n_words long, score double")
+    kind = dict(rows.dtypes)["doc_id"]
+    rows = rows.select("doc_id", "mark", "n_words", "ids")
+    return rows.mapInPandas(run, f"doc_id {kind}, mark long, n_words long, score double")
 
 
 def language_scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("mark", F.xxhash64("doc_id", "text")).withColumn("train", ~held_out("doc_id"))
-    results = scored(rows, refined(rows, fit(rows)))
+    kept = saved(encoded(rows))
+    results = scored(kept, fit(kept))
     per_mark, distinct = unigram(rows)
     results = saved(results)
     sums = results.where(~held_out("doc_id")).agg(F.count("*"), F.coalesce(F.sum("n_words"), F.lit(0))).first()

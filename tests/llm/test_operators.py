@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ledgerline.llm import bpe_codec, embedding_dedup, line_rules, lm_score, near_dup, packing, passages, quality_model
 from ledgerline.llm import scan, url_filter, warc
-from ledgerline.llm.attention import Attention, Windows
+from ledgerline.llm.attention import HIDDEN, WIDTH, Attention, Steps, Windows, summed
 from ledgerline.llm.bag_minhash import signatures
 from ledgerline.llm.common import components
 from ledgerline.llm.lexicon import Lexicon, compiled
@@ -335,15 +335,43 @@ def test_attention_is_causal_and_its_slopes_are_right():
     assert np.allclose((model.forward(x)["pi"] @ tables.T).sum(axis=2), 1, atol=1e-4)
     model.theta = {k: v.astype(np.float64) for k, v in model.theta.items()}
     y, on = r.integers(0, 40, (2, 32)), r.random((2, 32)) < 0.8
-    slopes, _ = model.slopes(x, y, on)
-    for name in ("E", "Q", "K", "V", "O", "H", "T", "S", "M", "B"):
-        at = np.unravel_index(np.abs(slopes[name]).argmax(), slopes[name].shape)
-        both = []
-        for step in (1e-3, -1e-3):
-            model.theta[name][at] += step
-            both.append(model.slopes(x, y, on)[1])
-            model.theta[name][at] -= step
-        assert (both[0] - both[1]) / 2e-3 == pytest.approx(slopes[name][at], rel=0.05, abs=2e-5), name
+    slopes, duty, _ = model.slopes(x, y, on, tables)
+    rows, wide = summed(x.ravel(), slopes["W"])
+    slopes["W"] = np.zeros(model.theta["W"].shape)
+    slopes["W"][rows] = wide
+    assert np.allclose(duty.sum(axis=2), on, atol=1e-5)
+    for name in ("Q", "K", "V", "O", "H", "M", "P", "h", "m"):
+        assert _slope(model, (x, y, on, tables), name, slopes[name])
+    for columns in (slice(0, WIDTH), slice(WIDTH, WIDTH + HIDDEN), slice(WIDTH + HIDDEN, None)):
+        assert _slope(model, (x, y, on, tables), "W", slopes["W"], columns)
+
+
+def _slope(model, batch, name, slope, columns=slice(None)):
+    """Whether the steepest entry agrees with the difference of two losses."""
+    part = np.abs(slope[..., columns])
+    at = np.unravel_index(part.argmax(), part.shape)
+    at = (*at[:-1], at[-1] + (columns.start or 0))
+    both = []
+    for step in (1e-3, -1e-3):
+        model.theta[name][at] += step
+        both.append(model.slopes(*batch)[2])
+        model.theta[name][at] -= step
+    return (both[0] - both[1]) / 2e-3 == pytest.approx(slope[at], rel=0.05, abs=2e-5)
+
+
+def test_distributions_follow_the_duties():
+    """Words that come in two kinds of texts: the model learns to tell them apart, better than any unigram."""
+    r = np.random.default_rng(1)
+    kind = r.integers(0, 2, (400, 1))
+    x = r.integers(0, 20, (400, 33)) + 20 * kind
+    model = Attention.new(np.full(40, 1 / 40))
+    steps, on = Steps(model, 0.02, 0.1), np.ones((400, 32), dtype=bool)
+    for at in [*range(0, 400, 40)] * 6:
+        steps.take(x[at : at + 40, :-1], x[at : at + 40, 1:], on[at : at + 40])
+    steps.settle()
+    assert steps.duty.sum() == pytest.approx(6 * 400 * 32) and model.share.sum() == pytest.approx(1)
+    assert np.allclose(model.tables().sum(axis=0), 1, atol=1e-4)
+    assert model.logs(x[:, :-1], x[:, 1:], model.tables()).mean() > np.log10(1 / 40) + 0.2
 
 
 # --- vectors ---

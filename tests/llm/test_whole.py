@@ -61,21 +61,24 @@ def test_every_training_text_reaches_the_language_model(spark):
     texts = [sentence(i, 2) + f" w{i} common words" for i in range(6_000)]
     rows = [(i, True, t) for i, t in enumerate(texts)] + [(i, False, "held out") for i in range(6_000, 6_100)]
     docs = spark.createDataFrame(rows, "mark long, train boolean, text string").repartition(5)
-    scorer = lm_score.fit(docs)
+    kept = lm_score.encoded(docs)
+    scorer = lm_score.fit(kept)
     count = np.zeros(scorer.end + 1)
     for _, ids, counts in lm_score.encode(texts, scorer.vocabulary):
         count += np.bincount(ids, minlength=len(count))
         count[scorer.end] += len(counts)
     want = Vocabulary.of(count, lm_score.SHOWN)
     assert np.array_equal(scorer.words.place, want.place) and np.allclose(scorer.words.share, want.share)
-    turns = [lm_score.learnt(docs).where(F.pmod(F.xxhash64("mark"), F.lit(lm_score.ROUNDS)) == t) for t in range(lm_score.ROUNDS)]
+    turns = [lm_score.learnt(kept).where(F.pmod(F.xxhash64("mark"), F.lit(lm_score.ROUNDS)) == t) for t in range(lm_score.ROUNDS)]
     assert sum(t.count() for t in turns) == 6_000
     with pytest.MonkeyPatch.context() as patch:
-        asked = []
-        patch.setattr(lm_score, "_added", lambda texts, *rest, f=lm_score._added: asked.append(texts.count()) or f(texts, *rest))
-        lm_score.refined(docs, scorer)
-    assert asked == [6_000]
-    assert lm_score.fit(docs.limit(0)).scores(texts[:1])[0] + 5 < scorer.scores(texts[:1])[0]
+        sent, seen = [], lm_score._added
+        patch.setattr(lm_score, "_added", lambda *args: sent.append(seen(*args)) or sent[-1])
+        lm_score.fit(kept)
+    words = lm_score.Windows.of(*(np.concatenate(x) for x in list(zip(*lm_score.encode(texts, scorer.vocabulary)))[1:]), scorer.end, stride=lm_score.WINDOW)
+    assert [len(sent), sum(weight for _, weight in sent[1:])] == [1 + lm_score.ROUNDS, len(words.doc)]
+    untrained = lm_score.fit(kept.where("NOT train"))
+    assert untrained.scores(texts[:1])[0] + 5 < scorer.scores(texts[:1])[0]
 
 
 def test_classifiers_learn_from_the_ends_of_long_texts(spark):
