@@ -20,13 +20,17 @@ WINDOW, STRIDE = 32, 26
 BATCH, STEP = 128, 128
 #: Steps after which the distributions move, and the part of the mean of all in each of them.
 EVERY, FAITH = 2, 0.02
+#: Bound of what goes into an exponential. Numbers too small for normal floats would make the products very slow;
+#: for the same reason ``DUST`` keeps the moments of gradients that stay zero away from them.
+STEEP, DUST = 30, np.float32(1e-15)
 
 
 def summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The row numbers that occur, and the sums of their values."""
     if not len(rows):
         return rows, values
-    order = np.argsort(rows, kind="stable")
+    # Numbers of two bytes are sorted by their digits.
+    order = np.argsort(rows.astype(np.uint16) if rows.max() < 1 << 16 else rows, kind="stable")
     rows = rows[order]
     first = np.flatnonzero(np.diff(rows, prepend=-1))
     return rows[first], np.add.reduceat(values[order], first, axis=0)
@@ -88,7 +92,7 @@ class Attention:
 
     def __init__(self, theta: dict[str, np.ndarray], share: np.ndarray):
         self.theta, self.share = theta, share
-        self.mask = np.triu(np.full((WINDOW, WINDOW), -1e9, dtype=np.float32), 1)
+        self.seen = np.tri(WINDOW, dtype=np.float32)
 
     @classmethod
     def new(cls, unigram: np.ndarray, seed: int = 11) -> Attention:
@@ -125,10 +129,10 @@ class Attention:
         joint = rows @ np.concatenate([t["Q"] * np.float32(WIDTH**-0.5), t["K"], t["V"]], axis=1)
         q, k, v = (joint[:, i * WIDTH : (i + 1) * WIDTH].reshape(*shape, WIDTH) for i in range(3))
         a = q @ k.transpose(0, 2, 1)
-        a += self.mask
-        np.minimum(a, 60, out=a)
+        np.clip(a, -STEEP, STEEP, out=a)
         np.exp(a, out=a)
-        a /= a.sum(axis=2, keepdims=True) + np.float32(1e-30)
+        a *= self.seen
+        a /= a.sum(axis=2, keepdims=True)
         mixed = (a @ v).reshape(-1, WIDTH)
         r = rows + mixed @ t["O"]
         u = (r @ t["H"] + t["h"]).reshape(*shape, HIDDEN)
@@ -137,6 +141,7 @@ class Attention:
         u = np.maximum(u, 0, out=u).reshape(-1, HIDDEN)
         z = u @ t["M"] + t["m"]
         z -= z.max(axis=1, keepdims=True)
+        np.maximum(z, -STEEP, out=z)
         np.exp(z, out=z)
         z /= z.sum(axis=1, keepdims=True)
         wide = lambda m: m.reshape(*shape, -1)
@@ -206,6 +211,7 @@ class Steps:
         rows, wide = summed(inputs.ravel(), slopes.pop("W"))
         for k, at, slope in [("W", rows, wide), *((k, slice(None), v) for k, v in slopes.items())]:
             m, v = self.moment[k]
+            slope += DUST
             m[at] = own = m[at] + 0.1 * (slope - m[at])
             v[at] = square = v[at] + 0.01 * (slope * slope - v[at])
             step = self.pace * (own / (1 - 0.9**self.taken)) / (np.sqrt(square / (1 - 0.99**self.taken)) + 1e-8)
