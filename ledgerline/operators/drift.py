@@ -48,10 +48,20 @@ def _unread(value: Column, typed: Column) -> Column:
     return value.isNotNull() & ~F.is_variant_null(value) & typed.isNull()
 
 
-def _left(fields: Column, known: list[str], unread: list[Column]) -> Column:
-    """Fields that are not ``known``, and those known ones whose names are among ``unread``; NULL if there are none."""
+def _told(rows: DataFrame, values: Mapping[str, Column], typed: Mapping[str, str]) -> DataFrame:
+    """Adds ``_unread``, the names of the fields whose value could not be read into their column of ``typed``.
+
+    By way of ``inline``, so that the names are there before a map is filtered by them: an expression inside the
+    filter's lambda would be evaluated again, with all its readings, for each entry of the map.
+    """
+    unread = [F.when(_unread(values[n], F.col(f"`{c}`")), F.lit(n)) for n, c in typed.items()]
     names = F.array_compact(F.array(*unread)) if unread else F.array().cast("array<string>")
-    rest = F.map_filter(fields, lambda name, _: ~name.isin(known) | F.array_contains(names, name))
+    return rows.select("*", F.inline(F.array(F.struct(names.alias("_unread")))))
+
+
+def _left(fields: Column, known: list[str]) -> Column:
+    """Fields that are not ``known``, and those known ones whose names are among ``_unread``; NULL if there are none."""
+    rest = F.map_filter(fields, lambda name, _: ~name.isin(known) | F.array_contains("_unread", name))
     return F.when(F.size(rest) > 0, rest)
 
 
@@ -63,13 +73,10 @@ def parse_open(envelope: DataFrame, stream: EventStream) -> DataFrame:
     """
     fields = F.from_json("payload", VARIANTS)
     rows = payloads(envelope, stream).select(F.inline(F.array(F.struct(fields.alias("_fields")))))
-    columns, unread = [], []
-    for field in stream.wire.fields:
-        value = F.col("_fields")[field.name]
-        typed = _read(value, field.dataType.simpleString())
-        columns.append(typed.alias(field.name))
-        unread.append(F.when(_unread(value, typed), F.lit(field.name)))
-    return rows.select(*columns, _left(F.col("_fields"), stream.wire.names, unread).alias(EXTRA))
+    values = {f.name: F.col("_fields")[f.name] for f in stream.wire.fields}
+    typed = [_read(values[f.name], f.dataType.simpleString()).alias(f.name) for f in stream.wire.fields]
+    rows = _told(rows.select("_fields", *typed), values, {n: n for n in values})
+    return rows.select(*stream.wire.names, _left(F.col("_fields"), stream.wire.names).alias(EXTRA))
 
 
 def to_bronze_open(envelope: DataFrame, stream: EventStream) -> DataFrame:
@@ -128,12 +135,13 @@ def promote(rows: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     odd = [c for c in columns if c.lower() in RESERVED or lowered.count(c.lower()) > 1 or here.get(c.lower(), c) != c]
     if odd:
         raise ValueError(f"names are taken or differ in case only: {sorted(odd)}")
+    values = {name: F.col(EXTRA)[name] for name in columns}
+    typed = {name: f"_typed_{i}" for i, name in enumerate(columns)}
+    read = [_read(values[name], kind).alias(typed[name]) for name, kind in columns.items()]
+    read = _told(rows.select("*", *read), values, typed)
     kept = {c: F.col(f"`{c}`") for c in rows.columns if c != EXTRA}
-    unread = []
     for name, kind in columns.items():
-        value = F.col(EXTRA)[name]
-        typed = _read(value, kind)
-        unread.append(F.when(_unread(value, typed), F.lit(name)))
-        kept[name] = F.coalesce(kept[name].cast(kind), typed) if name in kept else typed
-    left = _left(F.col(EXTRA), list(columns), unread) if columns else F.col(EXTRA)
-    return rows.select(*[value.alias(name) for name, value in kept.items()], left.alias(EXTRA))
+        value = F.col(typed[name])
+        kept[name] = F.coalesce(kept[name].cast(kind), value) if name in kept else value
+    left = _left(F.col(EXTRA), list(columns)) if columns else F.col(EXTRA)
+    return read.select(*[value.alias(name) for name, value in kept.items()], left.alias(EXTRA))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import drift
 from ledgerline.operators.parse import parse_topic
-from ledgerline.schemas import SYSTEM_LOGS, TRANSACTIONS
+from ledgerline.schemas import AUTH_LOGS, SYSTEM_LOGS, TRANSACTIONS
 
 
 def parsed(spark, payloads, stream=TRANSACTIONS):
@@ -117,3 +117,13 @@ def test_one_parse_of_each_payload(spark):
     got = drift.promote(parsed(spark, ["{}"]), {"a": "STRING"}).filter("customer_id > 1 AND a IS NOT NULL")
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") + plan.count("JsonToStructs") <= 1
+
+
+def test_no_value_is_read_inside_the_filter_of_the_map(spark):
+    """An expression in a lambda is evaluated for each entry of the map, so readings belong before it."""
+    envelope = spark.createDataFrame([("auth_logs", b'{"event_id": "a", "risk": 1}')], "topic string, value binary")
+    rows = drift.parse_open(envelope, AUTH_LOGS)
+    for df in (rows, drift.promote(rows.localCheckpoint(), {"risk": "BIGINT", "user_id": "STRING"})):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        lines = [line for line in plan.splitlines() if "map_filter" in line.lower()]
+        assert lines and not any("lambda" in line and "variant_get" in line.lower().split("map_filter", 1)[1] for line in lines)
