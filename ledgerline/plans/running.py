@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.operators.tables import append_change, read_merged
-from ledgerline.plans import sql
+from ledgerline.plans import fixtures, sql
 from ledgerline.plans.alerts import STATE_PARTITIONS, in_steps
 from ledgerline.plans.registry import query
 from ledgerline.plans.rows import silver_frame
@@ -42,8 +42,8 @@ def stream_user_sessions(spark, sf_dir):
     """Closed sessions, those that span a restart among them."""
     path, checkpoint = fresh_dir(spark, "sessions"), fresh_dir(spark, "checkpoint")
 
-    def run(log):
-        silver = change_log(streaming_session(spark, STATE_PARTITIONS), AUTH_LOGS.silver, log)
+    def run(log, partitions):
+        silver = change_log(streaming_session(spark, partitions), AUTH_LOGS.silver, log)
         jobs.drained(running.run_user_sessions, silver, path, checkpoint, gap=f"{GAP_MINUTES} minutes")
 
     in_steps(spark, silver_frame(spark, sf_dir, AUTH_LOGS), run)
@@ -76,10 +76,12 @@ _ORDER = r"CAST(regexp_extract(transaction_id, 'T([0-9]+)-', 1) AS BIGINT)"
 def bi_running_hours(spark, sf_dir):
     """The table of totals after late payments have revised hours that had been written, and how often each was."""
     changes, path, log, checkpoint = (fresh_dir(spark, n) for n in ("changes", "hours", "revisions", "checkpoint"))
-    rows = silver_frame(spark, sf_dir, TRANSACTIONS).withColumn("_step", F.expr(_step("timestamp", _ORDER)))
-    for number in range(len(PAYMENT_CUTS) + 1):
-        append_change(rows.filter(F.col("_step") == number).drop("_step"), changes, number, "fixture")
-        silver = change_log(streaming_session(spark, STATE_PARTITIONS), TRANSACTIONS.silver, changes)
+    batches = fixtures.steps_of(spark, silver_frame(spark, sf_dir, TRANSACTIONS), F.expr(_step("timestamp", _ORDER)))
+    numbers = range(len(PAYMENT_CUTS) + 1)
+    partitions = fixtures.state_partitions(*map(batches, numbers), least=STATE_PARTITIONS)
+    for number in numbers:
+        append_change(batches(number), changes, number, "fixture")
+        silver = change_log(streaming_session(spark, partitions), TRANSACTIONS.silver, changes)
         jobs.drained(running.run_hour_totals, silver, path, log, checkpoint, watermark=f"{_LATE_DAYS + 1} days")
     table = read_merged(spark, path).withColumn("month", F.date_format("hour", "yyyy-MM"))
     return table.join(running.revisions(spark, log), list(running.HOUR_KEYS)).drop("month")

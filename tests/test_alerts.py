@@ -136,3 +136,21 @@ def test_burst_stream(spark, folder):
     ]
     whole = alerts.login_bursts(spark.read.schema(AUTH_LOGS.silver).parquet(log), 3, "30 minutes")
     assert {(r.user_id, r["first"], r.failures) for r in whole.collect()} == {(t[0], t[2], t[4]) for t in told if t[1] == "closed"}
+
+
+def test_steps_are_computed_once(spark):
+    """Rows that are logged in steps are not computed anew for each step."""
+    from ledgerline.plans.alerts import in_steps
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    days = [dt.datetime(2024, 1, d) for d in (1, 12, 20, 28)] + [None]
+    rows = spark.createDataFrame([(t,) for t in days], "timestamp timestamp").mapInPandas(count, "timestamp timestamp")
+    logs = []
+    in_steps(spark, rows, lambda log, *_: logs.append(spark.read.parquet(log).count()))
+    assert logs == [2, 3, 4, 5] and seen.value == len(days)
