@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ledgerline import schemas
 from ledgerline.streaming.jobs import AS_FAST_AS_POSSIBLE, Trigger, to_files
@@ -128,11 +130,72 @@ class LoginBursts(StatefulProcessor):
         pass
 
 
+# The open bursts of a user, a column each.
+_OPEN = "first ARRAY<BIGINT>, last ARRAY<BIGINT>, n ARRAY<BIGINT>, raised ARRAY<BOOLEAN>"
+
+
+class _Open:
+    """The open bursts of one user as the list state and the timers of :class:`LoginBursts`, in memory."""
+
+    def __init__(self, bursts: list[Burst]):
+        self.bursts, self.timers = bursts, set()
+
+    def getListState(self, name: str, schema: str) -> _Open:
+        return self
+
+    def get(self) -> Iterator[Burst]:
+        return iter(self.bursts)
+
+    def put(self, bursts: list[Burst]) -> None:
+        self.bursts = bursts
+
+    def clear(self) -> None:
+        self.bursts = []
+
+    def registerTimer(self, at: int) -> None:
+        self.timers.add(at)
+
+    def deleteTimer(self, at: int) -> None:
+        self.timers.discard(at)
+
+
+@dataclass(frozen=True)
+class _Expired:
+    at: int
+
+    def getExpiryTimeInMs(self) -> int:
+        return self.at
+
+
+def _with_group_state(rule: LoginBursts, key, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """One user's turn. The state comes and goes with the rows, many users at a time: asking for it and for timers one
+    by one costs several calls between Python and Spark a user and micro-batch, most of the job with many users."""
+    held = _Open(list(zip(*state.get)) if state.exists else [])
+    rule.init(held)
+    if not state.hasTimedOut:
+        yield from rule.handleInputRows(key, rows, None)
+    now = state.getCurrentWatermarkMs()
+    if any(rule._expiry(b) <= now for b in held.bursts):
+        yield from rule.handleExpiredTimer(key, None, _Expired(now))
+    if not held.bursts:
+        if state.exists:
+            state.remove()
+        return
+    state.update(tuple(list(column) for column in zip(*held.bursts)))
+    # Spark calls when the watermark is past this time, and a burst is over when the watermark reaches its expiry.
+    state.setTimeoutTimestamp(min(rule._expiry(b) for b in held.bursts) - 1)
+
+
 def burst_alerts(silver_auth: DataFrame, at_least: int = 3, gap_minutes: int = 60, watermark: str = schemas.WATERMARK) -> DataFrame:
     """Stream of ``raised`` and ``closed`` bursts. The watermark is that of the failed logins."""
     failed = failed_logins(silver_auth).withWatermark("timestamp", watermark)
-    processor = LoginBursts(at_least, gap_minutes * 60_000_000)
-    return failed.groupBy("user_id").transformWithStateInPandas(processor, BURSTS, "append", "eventTime")
+    rule = LoginBursts(at_least, gap_minutes * 60_000_000)
+
+    def run(key, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        yield from _with_group_state(rule, key, rows, state)
+
+    timeout = GroupStateTimeout.EventTimeTimeout
+    return failed.groupBy("user_id").applyInPandasWithState(run, BURSTS, _OPEN, "append", timeout)
 
 
 class ErrorJumps(StatefulProcessor):

@@ -154,3 +154,10 @@ def test_steps_are_computed_once(spark):
     logs = []
     in_steps(spark, rows, lambda log, *_: logs.append(spark.read.parquet(log).count()))
     assert logs == [2, 3, 4, 5] and seen.value == len(days)
+
+
+def test_users_share_the_calls_for_their_state(spark):
+    """A stream of very many users asks for their state with their rows, not user by user."""
+    silver = spark.readStream.schema(AUTH_LOGS.silver).parquet("/root/testdata/sf0.001/events.parquet")
+    plan = alerts.burst_alerts(silver)._jdf.queryExecution().analyzed().toString()
+    assert "FlatMapGroupsInPandasWithState" in plan
