@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import functions as F
 
@@ -16,12 +17,16 @@ from ledgerline.plans.rows import silver_frame
 from ledgerline.plans.tables import read
 from ledgerline.schemas import AUTH_LOGS, STREAMS, SYSTEM_LOGS, TRANSACTIONS
 from ledgerline.session import fresh_dir, streaming_session
+from ledgerline.sources import files
 from ledgerline.sources.streams import change_log, message_log, table_appends
 from ledgerline.streaming import jobs
 
 
-# Bounds a micro-batch, so that a query takes several of them.
-ONE_FILE = {"maxFilesPerTrigger": "1"}
+def _several(spark, log, batches=4):
+    """Bounds a micro-batch, so that a query takes about so many of them, however many files the log has: what a
+    micro-batch costs beside its rows, as reading the master data, is then paid no more often for a longer log."""
+    held = files.data_files(spark, log).count()
+    return {"maxFilesPerTrigger": str(max(1, math.ceil(held / batches)))}
 
 
 def _log_of(spark, messages):
@@ -257,8 +262,8 @@ def replay_range(spark, sf_dir):
 def _silver_log(spark, sf_dir, stream):
     """A change log of silver in two batches, the second of which was repeated."""
     path, rows = fresh_dir(spark, "changes"), silver_frame(spark, sf_dir, stream)
-    first = F.pmod(F.xxhash64(stream.key), F.lit(2)) == 0
-    for number, batch in ((0, rows.filter(first)), (1, rows.filter(~first)), (1, rows)):
+    batches = fixtures.steps_of(spark, rows, F.pmod(F.xxhash64(stream.key), F.lit(2)))
+    for number, batch in ((0, batches(0)), (1, batches(1)), (1, rows)):
         append_change(batch, path, number, "fixture")
     return path
 
@@ -301,7 +306,8 @@ def alerts_suspicious(spark, sf_dir):
 )
 def stream_enrich_customer(spark, sf_dir):
     session, path = streaming_session(spark), fresh_dir(spark, "enriched")
-    silver = change_log(session, AUTH_LOGS.silver, _silver_log(spark, sf_dir, AUTH_LOGS), ONE_FILE)
+    log = _silver_log(spark, sf_dir, AUTH_LOGS)
+    silver = change_log(session, AUTH_LOGS.silver, log, _several(spark, log))
     master = fixtures.table(session, sf_dir, "customer")
     events = silver.select("event_id", "user_id", "dt")
     rows = enrich_stream(events, master, ("user_id", "c_custkey"), ["c_mktsegment", "c_nationkey"], "event_id")
@@ -335,7 +341,7 @@ def fraud_scores(spark, sf_dir):
     stream = TRANSACTIONS
     log, path = _silver_log(spark, sf_dir, stream), fresh_dir(spark, "scores")
     model = scoring.train_fraud_model(spark.read.parquet(log))
-    silver = change_log(streaming_session(spark), stream.silver, log, ONE_FILE)
+    silver = change_log(streaming_session(spark), stream.silver, log, _several(spark, log))
     jobs.drained(jobs.run_scoring, model, silver, path, fresh_dir(spark, "checkpoint"))
     return spark.read.parquet(path).select("transaction_id", F.col("dt").cast("date").alias("dt"), "prediction")
 
