@@ -92,7 +92,10 @@ _FRESH = f'known_at >= "timestamp" - INTERVAL {MAX_AGE_DAYS} DAY'
 )
 def training_set(spark, sf_dir):
     """Each payment, labelled, with its customer's last full day before it and standing before it."""
-    silver = silver_frame(spark, sf_dir, TRANSACTIONS)
+    # Two sides use the rows: written once, they are not scanned, shuffled and sorted for each.
+    path, silver = fresh_dir(spark, "silver"), silver_frame(spark, sf_dir, TRANSACTIONS)
+    silver.write.parquet(path)
+    silver = spark.read.schema(silver.schema).parquet(path)
     daily = gold.customer_daily(silver.filter(F.col("dt").isNotNull())).withColumn("known_at", F.date_add("dt", 1).cast("timestamp"))
     standing = versions.versions_of(
         standing_changes(spark, sf_dir), "customer_id", "o_orderdate", STANDING, F.expr(LATER).cast("int")
