@@ -46,6 +46,8 @@ SHORT = np.uint64((1 << 48) - 1)
 #: One document in so many gives the splitters.
 SPLITTER_SHARE = 64
 BATCH = scan.BLOCK
+#: Hashes, and suffixes, that a task compares at a time; larger groups of equal ones are taken whole.
+RANGE, NEIGHBOURS = 1 << 19, 1 << 13
 
 
 def _slide(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -126,10 +128,13 @@ def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def _batches(frames: Iterator[pd.DataFrame]):
     for frame in frames:
-        texts = scan.encoded(frame["text"])
-        for part in by_bytes(np.array([len(t) for t in texts]), BATCH):
-            data, at = scan.joined(texts[part])
-            yield frame.iloc[part], data, at
+        sizes = np.array([len(t) if isinstance(t, str) else 0 for t in frame["text"]], dtype=np.int64)
+        for part in by_bytes(sizes, BATCH):
+            # Only these texts are held as bytes too; a character may be up to four of them.
+            texts = scan.encoded(frame["text"].iloc[part])
+            for own in by_bytes(np.array([len(t) for t in texts]), BATCH):
+                data, at = scan.joined(texts[own])
+                yield frame.iloc[part].iloc[own], data, at
 
 
 def _asked(rows: DataFrame, parts: int) -> DataFrame:
@@ -193,6 +198,32 @@ def _per_document(replies: DataFrame, parts: int, wide: int) -> DataFrame:
     return replies.repartition(parts, "batch").mapInPandas(run, "doc long, mark long, kind int, held binary")
 
 
+def in_two_texts(hashes: list[np.ndarray], marks: list[tuple[np.ndarray, np.ndarray]], end: int) -> list[np.ndarray]:
+    """Whether each hash (below ``end``, in rising order in every list) also belongs to another mark; ``marks`` are a
+    list's own and the place of each hash's among them. Hashes are compared range by range, ``RANGE`` about at a time."""
+    steps = max(1, -(-sum(map(len, hashes)) // RANGE))
+    edges = np.array([end * i // steps for i in range(1, steps)], dtype=np.uint64)
+    cuts = [np.concatenate([[0], np.searchsorted(h, edges), [len(h)]]) for h in hashes]
+    out = [np.zeros(len(h), dtype=bool) for h in hashes]
+    for i in range(steps):
+        own = [slice(c[i], c[i + 1]) for c in cuts]
+        held = np.concatenate([h[at] for h, at in zip(hashes, own)])
+        if not len(held):
+            continue
+        mark = np.concatenate([m[place[at]] for (m, place), at in zip(marks, own)])
+        order = np.argsort(held, kind="stable")
+        first = np.flatnonzero(np.append(True, held[order[1:]] != held[order[:-1]]))
+        mark = mark[order]
+        many = np.minimum.reduceat(mark, first) < np.maximum.reduceat(mark, first)
+        hit = np.zeros(len(held), dtype=bool)
+        hit[order] = np.repeat(many, np.diff(np.append(first, len(held))))
+        done = 0
+        for flags, at in zip(out, own):
+            flags[at] = hit[done : done + at.stop - at.start]
+            done += at.stop - at.start
+    return out
+
+
 def _shared(asked: DataFrame, parts: int) -> DataFrame:
     """(batch, blob): for each request the hashes that another text has too, by document."""
 
@@ -201,15 +232,8 @@ def _shared(asked: DataFrame, parts: int) -> DataFrame:
         for p in sorted({r[0] for r in rows}):
             blobs = [(batch, _unpack(b)) for q, batch, b in rows if q == p]
             rest = [np.cumsum(b[0], dtype=np.uint64) for _, b in blobs]
-            every, back = np.unique(np.concatenate(rest), return_inverse=True)
-            marks = np.concatenate([b[3][b[1]] for _, b in blobs])
-            low, high = np.full(len(every), 2**63 - 1, dtype=np.int64), np.full(len(every), -(2**63), dtype=np.int64)
-            np.minimum.at(low, back, marks)
-            np.maximum.at(high, back, marks)
-            many, done, out = low < high, 0, []
-            for own, (batch, (_, short, ids, own_marks)) in zip(rest, blobs):
-                hit = many[back[done : done + len(own)]]
-                done += len(own)
+            hits, out = in_two_texts(rest, [(b[3], b[1]) for _, b in blobs], int(SHORT) // parts + 1), []
+            for own, hit, (batch, (_, short, ids, own_marks)) in zip(rest, hits, blobs):
                 if hit.any():
                     out.append((batch, _reply(ids, own_marks, short[hit], own[hit] * np.uint64(parts) + np.uint64(p))))
             yield pd.DataFrame(out, columns=["batch", "blob"])
@@ -320,7 +344,7 @@ def compared(name: np.ndarray, edges: np.ndarray, held: np.ndarray, doc: np.ndar
     own_low, own_high = np.full(len(first), SPAN, dtype=np.int64), np.full(len(first), -1, dtype=np.int64)
     at = 0
     while at < len(rows):
-        end = min(at + 50_000, len(rows))
+        end = min(at + NEIGHBOURS, len(rows))
         while end < len(rows) and group[end] == group[end - 1]:
             end += 1
         part, g = rows[at:end], group[at:end].astype(np.uint64)

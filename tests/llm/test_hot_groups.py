@@ -2,9 +2,11 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from ledgerline.llm import near_dup
+import corpus_pipeline
+from ledgerline.llm import common, near_dup, passages
 from ledgerline.llm.common import components
 from tests.llm import brute
 from tests.llm.test_operators import DOCS, sentence
@@ -57,3 +59,32 @@ def test_later_links_join_what_was_found(spark):
     assert got == {n: 0 for n in [*range(42), 100, 101, 300, 301]}
     none = spark.createDataFrame([], "a long, b long")
     assert near_dup.joined(components(none, "a", "b"), none).count() == 0
+
+
+def test_hashes_are_compared_range_by_range(monkeypatch):
+    """What a task holds to compare is bounded by the range, not by its share of all hashes."""
+    r = np.random.default_rng(2)
+    hashes = [np.sort(r.integers(0, 4_000, n).astype(np.uint64)) for n in (0, 3_000, 1, 2_000)]
+    marks = [(r.integers(-9, 9, 5), r.integers(0, 5, len(h))) for h in hashes]
+    held = {}
+    for h, (mark, place) in zip(hashes, marks):
+        for x, m in zip(h.tolist(), mark[place].tolist()):
+            held.setdefault(x, set()).add(m)
+    monkeypatch.setattr(passages, "RANGE", 300)
+    most, sort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda x, *rest, **more: most.append(len(x)) or sort(x, *rest, **more))
+    got = passages.in_two_texts(hashes, marks, 4_000)
+    assert [g.tolist() for g in got] == [[len(held[x]) > 1 for x in h.tolist()] for h in hashes]
+    assert max(most) < 600
+
+
+def test_stages_give_their_python_tasks_few_rows_at_a_time(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id long, text string")
+    before = spark.conf.get(common.ARROW_ROWS)
+    try:
+        for given, want in ((10_000, common.BATCH_ROWS), (0, common.BATCH_ROWS), (7, 7)):
+            spark.conf.set(common.ARROW_ROWS, given)
+            corpus_pipeline.near_duplicates(spark, docs, "")
+            assert int(spark.conf.get(common.ARROW_ROWS)) == want
+    finally:
+        spark.conf.set(common.ARROW_ROWS, before)
