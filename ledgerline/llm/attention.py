@@ -17,12 +17,14 @@ from ledgerline.llm.bytepair import ragged
 WIDTH, HIDDEN, MIXTURE = 16, 32, 32
 WINDOW, STRIDE = 32, 26
 #: Windows that go through the model together, and in a training step.
-BATCH, STEP = 128, 128
+BATCH, STEP = 64, 128
 #: Steps after which the distributions move, and the part of the mean of all in each of them.
 EVERY, FAITH = 2, 0.02
 #: Bound of what goes into an exponential. Numbers too small for normal floats would make the products very slow;
 #: for the same reason ``DUST`` keeps the moments of gradients that stay zero away from them.
 STEEP, DUST = 30, np.float32(1e-15)
+#: The same for shares of entries that do not occur for long; far below what ``tables`` adds.
+SPECK = np.float32(1e-25)
 
 
 def summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -33,7 +35,17 @@ def summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     order = np.argsort(rows.astype(np.uint16) if rows.max() < 1 << 16 else rows, kind="stable")
     rows = rows[order]
     first = np.flatnonzero(np.diff(rows, prepend=-1))
-    return rows[first], np.add.reduceat(values[order], first, axis=0)
+    return rows[first], np.add.reduceat(np.take(values, order, axis=0), first, axis=0)
+
+
+def across(values: np.ndarray) -> np.ndarray:
+    """Sums over the last axis, which stays; as a product, much faster than a reduction of many short rows."""
+    return values @ np.ones((values.shape[-1], 1), dtype=values.dtype)
+
+
+def down(values: np.ndarray) -> np.ndarray:
+    """Sums over the rows."""
+    return np.ones(len(values), dtype=values.dtype) @ values
 
 
 @dataclass
@@ -123,72 +135,87 @@ class Attention:
     def forward(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
         """From entries [windows, WINDOW]; ``pi`` are the mixture weights of each position."""
         t, shape = self.theta, inputs.shape
-        held = t["W"][inputs]
-        x = held[..., :WIDTH] + t["P"]
+        wide = lambda m: m.reshape(*shape, -1)
+        held = np.take(t["W"], inputs.ravel(), axis=0)
+        x = wide(held[:, :WIDTH]) + t["P"]
         rows = x.reshape(-1, WIDTH)
         joint = rows @ np.concatenate([t["Q"] * np.float32(WIDTH**-0.5), t["K"], t["V"]], axis=1)
-        q, k, v = (joint[:, i * WIDTH : (i + 1) * WIDTH].reshape(*shape, WIDTH) for i in range(3))
+        q, k, v = (wide(joint[:, i * WIDTH : (i + 1) * WIDTH]) for i in range(3))
         a = q @ k.transpose(0, 2, 1)
         np.clip(a, -STEEP, STEEP, out=a)
         np.exp(a, out=a)
         a *= self.seen
-        a /= a.sum(axis=2, keepdims=True)
+        a *= 1 / across(a)
         mixed = (a @ v).reshape(-1, WIDTH)
         r = rows + mixed @ t["O"]
-        u = (r @ t["H"] + t["h"]).reshape(*shape, HIDDEN)
-        u += held[..., WIDTH : WIDTH + HIDDEN]
-        u[:, 1:] += held[:, :-1, WIDTH + HIDDEN :]
-        u = np.maximum(u, 0, out=u).reshape(-1, HIDDEN)
-        z = u @ t["M"] + t["m"]
-        z -= z.max(axis=1, keepdims=True)
+        u = r @ t["H"]
+        u += t["h"]
+        u += held[:, WIDTH : WIDTH + HIDDEN]
+        wide(u)[:, 1:] += wide(held)[:, :-1, WIDTH + HIDDEN :]
+        np.maximum(u, 0, out=u)
+        z = u @ t["M"]
+        z += t["m"]
+        # Turned round, as the largest of many short rows is slow to find.
+        z -= np.ascontiguousarray(z.T).max(axis=0)[:, None]
         np.maximum(z, -STEEP, out=z)
         np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
-        wide = lambda m: m.reshape(*shape, -1)
+        z *= 1 / across(z)
         return {"x": x, "q": q, "k": k, "v": v, "a": a, "mixed": wide(mixed), "r": wide(r), "u": wide(u), "pi": wide(z)}
 
     def tables(self) -> np.ndarray:
         """The unigram distributions as [entries, MIXTURE]; what one has not seen it takes from the mean of all."""
-        near = self.share + FAITH * self.share.mean(axis=1, keepdims=True) + 1e-12
-        return (near / near.sum(axis=0)).astype(np.float32)
+        near = self.share + self.share.dtype.type(FAITH / MIXTURE) * across(self.share)
+        near += 1e-12
+        near *= 1 / near.sum(axis=0)
+        return near.astype(np.float32, copy=False)
 
     def slopes(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, tables: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
         """Gradient of the mean log loss of the scored targets, how much of each target each distribution accounts
         for, and the loss. The gradient of ``W`` is one row for each position of the inputs."""
         t, f = self.theta, self.forward(inputs)
-        joint = f["pi"] * tables[targets]
-        p = joint.sum(axis=2)
+        shape = inputs.shape
+        flat = lambda m: m.reshape(-1, m.shape[-1])
+        duty = flat(np.take(tables, targets.ravel(), axis=0) * flat(f["pi"]))
+        p = across(duty)
         n = max(int(scored.sum()), 1)
-        duty = joint * (scored / p)[..., None]
-        dz = (f["pi"] * scored[..., None] - duty) / n
-        flat = lambda a: a.reshape(-1, a.shape[-1])
-        dpre = (flat(dz) @ t["M"].T).reshape(f["u"].shape) * (f["u"] > 0)
-        dr = (flat(dpre) @ t["H"].T).reshape(f["r"].shape)
-        dmix = (flat(dr) @ t["O"].T).reshape(f["r"].shape)
-        da = dmix @ f["v"].transpose(0, 2, 1)
+        on = scored.reshape(-1, 1).astype(duty.dtype)
+        duty *= on / p
+        dz = flat(f["pi"]) * (on / n)
+        dz -= duty * dz.dtype.type(1 / n)
+        dpre = dz @ t["M"].T
+        dpre *= flat(f["u"]) > 0
+        dr = dpre @ t["H"].T
+        dmix = (dr @ t["O"].T).reshape(*shape, WIDTH)
+        ds = dmix @ f["v"].transpose(0, 2, 1)
         dv = f["a"].transpose(0, 2, 1) @ dmix
-        ds = f["a"] * (da - (da * f["a"]).sum(axis=2, keepdims=True))
-        dq, dk = ds @ f["k"] * np.float32(WIDTH**-0.5), ds.transpose(0, 2, 1) @ f["q"]
-        dx = dr + (flat(dq) @ t["Q"].T + flat(dk) @ t["K"].T + flat(dv) @ t["V"].T).reshape(dr.shape)
-        after = np.zeros_like(dpre)
-        after[:, :-1] = dpre[:, 1:]
+        # What the attention weights of a position get on average follows from what they mixed.
+        ds -= across(dmix * f["mixed"])
+        ds *= f["a"]
+        dq, dk = ds @ f["k"], ds.transpose(0, 2, 1) @ f["q"]
+        dq *= np.float32(WIDTH**-0.5)
+        into = np.concatenate([flat(dq), flat(dk), flat(dv)], axis=1)
+        dx = dr + into @ np.concatenate([t["Q"], t["K"], t["V"]], axis=1).T
+        wide = np.empty((len(dx), WIDTH + 2 * HIDDEN), dtype=dx.dtype)
+        wide[:, :WIDTH], wide[:, WIDTH : WIDTH + HIDDEN] = dx, dpre
+        wide[:-1, WIDTH + HIDDEN :] = dpre[1:]
+        wide[shape[1] - 1 :: shape[1], WIDTH + HIDDEN :] = 0
+        joint = flat(f["x"]).T @ into
         out = {
-            "W": np.concatenate([flat(dx), flat(dpre), flat(after)], axis=1),
-            "P": dx.sum(axis=0),
-            "Q": flat(f["x"]).T @ flat(dq),
-            "K": flat(f["x"]).T @ flat(dk),
-            "V": flat(f["x"]).T @ flat(dv),
-            "O": flat(f["mixed"]).T @ flat(dr),
-            "H": flat(f["r"]).T @ flat(dpre),
-            "h": flat(dpre).sum(axis=0),
-            "M": flat(f["u"]).T @ flat(dz),
-            "m": flat(dz).sum(axis=0),
+            "W": wide,
+            "P": dx.reshape(*shape, WIDTH).sum(axis=0),
+            **{name: joint[:, i * WIDTH : (i + 1) * WIDTH] for i, name in enumerate("QKV")},
+            "O": flat(f["mixed"]).T @ dr,
+            "H": flat(f["r"]).T @ dpre,
+            "h": down(dpre),
+            "M": flat(f["u"]).T @ dz,
+            "m": down(dz),
         }
-        return out, duty, float(-np.log(p[scored]).sum() / n)
+        return out, duty.reshape(*shape, -1), float(-np.log(p[scored.ravel()]).sum() / n)
 
     def logs(self, inputs: np.ndarray, targets: np.ndarray, tables: np.ndarray) -> np.ndarray:
         """log10 of the probability of each target's entry."""
-        p = np.einsum("wpk,wpk->wp", self.forward(inputs)["pi"], tables[targets])
+        weights = self.forward(inputs)["pi"]
+        p = across(np.take(tables, targets.ravel(), axis=0).reshape(weights.shape) * weights)[..., 0]
         return np.log10(np.maximum(p, 1e-30))
 
 
@@ -201,7 +228,8 @@ class Steps:
     def __init__(self, model: Attention, pace: float, mix: float):
         self.model, self.pace, self.mix, self.taken = model, pace, mix, 0
         self.moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.theta.items()}
-        self.duty, self.fresh = np.zeros(model.share.shape), np.zeros(model.share.shape)
+        self.duty, self.fresh = np.zeros(model.share.shape), []
+        self.model.share = model.share.astype(np.float32)
         self.tables = model.tables()
 
     def take(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> float:
@@ -209,23 +237,35 @@ class Steps:
         slopes, duty, loss = self.model.slopes(inputs, targets, scored, self.tables)
         self.taken += 1
         rows, wide = summed(inputs.ravel(), slopes.pop("W"))
+        pace, bend = self.pace / (1 - 0.9**self.taken), 1 / np.sqrt(1 - 0.99**self.taken)
         for k, at, slope in [("W", rows, wide), *((k, slice(None), v) for k, v in slopes.items())]:
             m, v = self.moment[k]
-            slope += DUST
-            m[at] = own = m[at] + 0.1 * (slope - m[at])
-            v[at] = square = v[at] + 0.01 * (slope * slope - v[at])
-            step = self.pace * (own / (1 - 0.9**self.taken)) / (np.sqrt(square / (1 - 0.99**self.taken)) + 1e-8)
-            self.model.theta[k][at] -= step.astype(np.float32)
-        rows, counts = summed(targets[scored], duty[scored])
-        self.fresh[rows] += counts
+            slope = slope + DUST
+            own, square = m[at] * 0.9, v[at] * 0.99
+            own += 0.1 * slope
+            slope *= slope
+            slope *= 0.01
+            square += slope
+            m[at], v[at] = own, square
+            np.sqrt(square, out=slope)
+            slope *= slope.dtype.type(bend)
+            slope += 1e-8
+            own *= own.dtype.type(pace)
+            own /= slope
+            self.model.theta[k][at] -= own
+        self.fresh.append(summed(targets.ravel(), duty.reshape(-1, duty.shape[-1])))
         if self.taken % EVERY == 0:
             self.settle()
         return loss
 
     def settle(self) -> None:
         """Moves the distributions towards the duties of the last steps."""
-        if n := self.fresh.sum():
-            self.model.share = (1 - self.mix) * self.model.share + self.mix / n * self.fresh
-            self.duty += self.fresh
-            self.fresh[:] = 0
+        if n := sum(float(counts.sum(dtype=float)) for _, counts in self.fresh):
+            share = self.model.share
+            share *= np.float32(1 - self.mix)
+            share += SPECK
+            for rows, counts in self.fresh:
+                share[rows] += counts * np.float32(self.mix / n)
+                self.duty[rows] += counts
+            self.fresh = []
             self.tables = self.model.tables()

@@ -93,13 +93,16 @@ class Scorer:
         """log10 probability of each row of stored ids."""
         out = []
         for _, ids, counts in held_ids(rows, self.vocabulary):
-            total, w = np.zeros(len(counts)), Windows.of(ids, counts, self.end)
+            w = Windows.of(ids, counts, self.end)
+            sums = np.zeros(-(-len(w.doc) // BATCH) * BATCH)
             for at in range(0, len(w.doc), BATCH):
-                cut = slice(at, at + BATCH)
+                # The last batch is filled up: a product's rounding depends on its number of rows, and equal windows
+                # must score the same in every batch. For the same reason a text's windows are added up at once.
+                cut = np.minimum(np.arange(at, at + BATCH), len(w.doc) - 1)
                 inputs, targets = self.words.place[w.inputs[cut]], w.targets[cut]
                 logs = self.model.logs(inputs, self.words.place[targets], self.tables) + self.words.share[targets]
-                total += np.bincount(w.doc[cut], weights=(logs * w.scored[cut]).sum(axis=1), minlength=len(counts))
-            out.append(total)
+                sums[at : at + BATCH] = (logs * w.scored[cut]).sum(axis=1)
+            out.append(np.bincount(w.doc, weights=sums[: len(w.doc)], minlength=len(counts)))
         return np.concatenate(out) if out else np.zeros(0)
 
     def scores(self, texts) -> np.ndarray:

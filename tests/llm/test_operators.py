@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ledgerline.llm import bpe_codec, embedding_dedup, line_rules, lm_score, near_dup, packing, passages, quality_model
 from ledgerline.llm import scan, url_filter, warc
-from ledgerline.llm.attention import HIDDEN, WIDTH, Attention, Steps, Windows, summed
+from ledgerline.llm.attention import HIDDEN, WIDTH, Attention, Steps, Vocabulary, Windows, summed
 from ledgerline.llm.bag_minhash import signatures
 from ledgerline.llm.common import components
 from ledgerline.llm.lexicon import Lexicon, compiled
@@ -324,6 +324,37 @@ def test_windows_score_each_target_once():
         assert w.targets[own][w.scored[own]].tolist() == [*range(end - n, end), 999]
 
 
+def test_equal_texts_score_the_same_in_every_batch(monkeypatch):
+    """Products over different numbers of rows may round differently, so the model gets as many windows each time."""
+    import public_tokenizers
+
+    from ledgerline.llm.bytepair import merges
+
+    r = np.random.default_rng(5)
+    end = merges(public_tokenizers.path(lm_score.VOCABULARY)).size
+    count = np.append(r.integers(0, 9, end), 50).astype(float)
+    words = Vocabulary.of(count, 60)
+    entry = np.bincount(words.place, weights=count + 0.1)
+    scorer = lm_score.Scorer(Attention.new(entry / entry.sum()), words, end, lm_score.VOCABULARY)
+    texts = [r.integers(0, end, n).astype("<u2").tobytes() for n in (0, 1, 40, 700, 5_000, 90)]
+    sizes, logs = set(), Attention.logs
+    monkeypatch.setattr(Attention, "logs", lambda self, x, *rest: sizes.add(len(x)) or logs(self, x, *rest))
+    want = scorer.of_ids(texts)
+    assert [scorer.of_ids([t])[0] for t in texts] == want.tolist()
+    assert scorer.of_ids(texts[::-1] * 3).tolist() == want[::-1].tolist() * 3
+    assert len(sizes) == 1
+
+
+def test_shares_stay_normal_numbers():
+    """A word that no longer occurs keeps a share that arithmetic is fast on."""
+    steps = Steps(Attention.new(np.full(40, 1 / 40)), 0.02, 0.5)
+    x, on = np.zeros((4, 32), dtype=int), np.ones((4, 32), dtype=bool)
+    for _ in range(500):
+        steps.take(x, x, on)
+    assert steps.model.share.min() > np.finfo(np.float32).tiny
+    assert all(np.isfinite(v).all() for v in steps.model.theta.values())
+
+
 def test_attention_is_causal_and_its_slopes_are_right():
     model = Attention.new(np.full(40, 1 / 40))
     r = np.random.default_rng(0)
