@@ -70,6 +70,39 @@ def test_empty_batch_is_a_no_op(spark, folder):
     assert data_files(path) == before
 
 
+def test_the_first_batch_is_read_once(spark, folder, monkeypatch):
+    """A table without rows has nothing to look for: the batch is neither held nor counted first."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def see(frames):
+        for frame_ in frames:
+            seen.add(len(frame_))
+            yield frame_
+
+    batch = frame(spark, ("a", 1, D1), ("b", 1, D2), ("n", 1, None)).mapInPandas(see, SCHEMA)
+    monkeypatch.setattr(type(batch), "persist", lambda *_: pytest.fail("held"))
+    session = spark.newSession()
+    assert T.upsert(batch, folder("t"), KEYS, session=session) == T.UpsertResult(3, False) and seen.value == 3
+    assert content(spark, folder("t")) == [("a", 1, D1), ("b", 1, D2), ("n", 1, None)]
+    none = batch.filter("v > 1").groupBy(*KEYS).agg(F.max("v").alias("v")).select("id", "v", "dt")
+    assert T.upsert(none, folder("none"), KEYS) == T.UpsertResult(0, False) and not os.path.exists(folder("none"))
+
+
+def test_a_later_batch_is_counted_and_divided_in_one_pass(spark, folder):
+    path = folder("t")
+    T.upsert(frame(spark, ("a", 1, D1), ("b", 1, D2)), path, KEYS, buckets=2)
+    kept = data_files(path)
+    assert T.upsert(frame(spark, ("n", 2, None)), path, KEYS, buckets=2) == T.UpsertResult(1, False)
+    assert kept < data_files(path)
+    # All in stale partitions: nothing is left to add after the rewrite.
+    assert T.upsert(frame(spark, ("a", 2, D1), ("b", 2, D2)), path, KEYS, buckets=2) == T.UpsertResult(2, True)
+    # A stale partition, one without a match and one without a date.
+    rows = frame(spark, ("a", 3, D1), ("c", 3, D3), ("n", 3, None))
+    assert T.upsert(rows, path, KEYS, buckets=2) == T.UpsertResult(3, True)
+    expected = [("a", 3, D1), ("b", 2, D2), ("c", 3, D3), ("n", 2, None), ("n", 3, None)]
+    assert [r[:3] for r in content(spark, path)] == sorted(expected, key=str)  # the bucket aside
+
+
 def test_only_null_dates(spark, folder):
     path = folder("t")
     for value in (1, 2):
