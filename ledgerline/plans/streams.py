@@ -43,7 +43,8 @@ def _bronze_of(spark, rows, partition="dt"):
 
 
 def _silver_run(spark, bronze_path, stream, path, checkpoint=None, **options):
-    bronze = table_appends(streaming_session(spark), stream.bronze, bronze_path)
+    # Nobody reads this job's progress.
+    bronze = table_appends(streaming_session(spark, count_state=False), stream.bronze, bronze_path)
     jobs.drained(jobs.run_silver, bronze, stream, path, checkpoint or fresh_dir(spark, "checkpoint"), **options)
 
 

@@ -63,6 +63,23 @@ def test_session_defaults(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
 
 
+def test_silver_holds_no_batch_for_an_empty_table(spark, folder, monkeypatch):
+    """The state is asked once: without a log the first micro-batch goes straight into the table."""
+    rows = [(f"l{i % 50}", "2024-01-01 10:00:00", "m") for i in range(100)]
+    T.append(log_rows(spark, *rows), folder("bronze"))
+    held = []
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda df, *_: held.append(df) or df)
+    source = table_appends(S.streaming_session(spark, 2, count_state=False), SYSTEM_LOGS.bronze, folder("bronze"))
+    jobs.drained(jobs.run_silver, source, SYSTEM_LOGS, folder("silver"), folder("checkpoint"))
+    # What is held is the micro-batch without rows that ends the run.
+    assert len(held) == 1 and ids(spark, folder("silver")) == sorted(f"l{i}" for i in range(50))
+
+
+def test_state_rows_are_counted_unless_told_not_to(spark):
+    assert S.streaming_session(spark, 2, count_state=False).conf.get(S.COUNTED) == "false"
+    assert S.streaming_session(spark, 2).conf.get(S.COUNTED, "true") == "true"
+
+
 def test_late_rows_one_file_per_batch(spark, folder):
     """Within one run a batch is filtered by the watermark of the batch before last: late1 still passes."""
     bronze = folder("bronze")
