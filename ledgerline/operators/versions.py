@@ -68,8 +68,13 @@ def upsert_versions(
     """
     spark = session or changes.sparkSession
     known = changes.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
-    fresh = known.select(key, *columns, F.col(time).alias(FROM)).persist(StorageLevel.MEMORY_AND_DISK)
+    fresh = known.select(key, *columns, F.col(time).alias(FROM))
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    if tables.untouched(spark, path):
+        out = versions_of(fresh, key, FROM, columns).withColumn(tables.BUCKET, bucket)
+        tables.filled(out, path, [tables.BUCKET], spark)
+        return
+    fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         touched = tables.Partitions.of(fresh.select(bucket.alias(tables.BUCKET)), tables.BUCKET)
         if touched.empty:

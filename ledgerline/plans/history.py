@@ -68,7 +68,11 @@ def dim_customer_versions_merged(spark, sf_dir):
 )
 def fact_customer_version(spark, sf_dir):
     """Each payment with its customer's standing at that time."""
-    facts = silver_frame(spark, sf_dir, TRANSACTIONS).select("transaction_id", "customer_id", "timestamp")
+    # Read twice: for the days that versions are carried to, and to be joined.
+    path, facts = fresh_dir(spark, "facts"), silver_frame(spark, sf_dir, TRANSACTIONS)
+    facts = facts.select("transaction_id", "customer_id", "timestamp")
+    facts.write.parquet(path)
+    facts = spark.read.schema(facts.schema).parquet(path)
     return versions.valid_at(facts, standing_table(spark, sf_dir), ("customer_id", "customer_id"), "timestamp", STANDING)
 
 

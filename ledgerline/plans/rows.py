@@ -29,7 +29,7 @@ def silver_from_messages(spark, sf_dir, stream):
 
 def silver_frame(spark, sf_dir, stream):
     """The same rows from the table form of the stream, as later steps find them: parsing is behind them."""
-    return one_per_key(clean(fixtures.raw(spark, sf_dir, stream), stream), stream.keys)
+    return one_per_key(clean(fixtures.raw(spark, sf_dir, stream), stream), stream.keys, derived=schemas.PLACE)
 
 
 def _register_per_stream(stream, short):

@@ -60,6 +60,13 @@ def test_versions_do_not_depend_on_arrival(spark, folder):
     assert held(spark, path) == plain(batches)
 
 
+def test_the_first_changes_are_not_held(spark, folder, monkeypatch):
+    """A table without versions has none to close: the changes are read once."""
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda *_: pytest.fail("held"))
+    take(spark, folder("v"), [(1, 0, "a", 1), (1, 5, "b", 1), (None, 3, "x", 1)])
+    assert held(spark, folder("v")) == plain([[(1, 0, "a", 1), (1, 5, "b", 1)]])
+
+
 def test_other_buckets_are_not_touched_and_a_dead_job_is_finished(spark, folder):
     path = folder("v")
     take(spark, path, [(k, 0, "a", 1) for k in range(40)])

@@ -8,10 +8,14 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline.functions import columns as C
 from ledgerline.operators import layout
 from ledgerline.operators import tables as T
 from ledgerline.operators.dedup import one_per_key
+from ledgerline.plans import rows as rows_of
+from ledgerline.schemas import TRANSACTIONS
 from ledgerline.sources.csv import CsvDataset, ingest
+from tests.conftest import SF_DIR
 
 SCHEMA = "id STRING, v INT, dt DATE"
 KEYS = ["id", "dt"]
@@ -305,3 +309,13 @@ def test_one_per_key_limits_before_the_exchange(spark):
     assert sorted((r.dt, r.v) for r in out.collect()) == [(D1, 1), (D2, None)]
     plan = out._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_derived_columns_do_not_order(spark):
+    """What nobody asks for is not computed only to order copies by it; the copy that is kept is the same."""
+    rows = [(1, 9, "c", "3,-4.5"), (1, 9, "c", "1,-2.5"), (1, 9, "c", None), (2, 8, "c", "bad")]
+    df = spark.createDataFrame(rows, "id INT, v INT, w STRING, geo STRING").repartition(2)
+    df = df.withColumns({"lat": C.latitude(F.col("geo")), "lon": C.longitude(F.col("geo"))})
+    assert one_per_key(df, ["id"], derived=["lat", "lon"]).collect() == one_per_key(df, ["id"]).collect()
+    few = rows_of.silver_frame(spark, SF_DIR, TRANSACTIONS).select("transaction_id", "timestamp")
+    assert "regexp_extract" not in few._jdf.queryExecution().optimizedPlan().toString()
