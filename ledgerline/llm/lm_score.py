@@ -1,7 +1,7 @@
 """Language-model scores of whole texts.
 
-A text is its words in lower case (A-Z), each with one blank before it, as subword ids of a public vocabulary, and an
-end. Ids are made once and kept. ``fit`` counts the ids of all training documents and trains the attention model
+A text is its words in lower case (A-Z), each with one blank before it and encoded by itself, as subword ids of a public
+vocabulary, and an end. Ids are made once and kept. ``fit`` counts the ids of all training documents and trains the attention model
 (``attention.py``) on all of them: in each of ``ROUNDS`` rounds every task takes gradient steps on its share of the
 texts, each text in one round; the tasks' weights are averaged, and the model's word distributions are estimated from
 the duties of all words of the round. No text reaches the driver. The weights depend on how the input is dealt into
@@ -18,6 +18,7 @@ training documents.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -25,9 +26,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.attention import BATCH, STEP, WINDOW, Attention, Steps, Vocabulary, Windows
+from ledgerline.llm import scan
+from ledgerline.llm.attention import BATCH, STEP, STRIDE, WINDOW, Attention, Front, Steps, Vocabulary, Windows
 from ledgerline.llm.bpe_codec import VOCABULARY, encoder
-from ledgerline.llm.bytepair import merges, slices
+from ledgerline.llm.bytepair import SLICE, merges, ragged
 from ledgerline.llm.common import by_bytes, saved, table
 from ledgerline.llm.word_counts import lowered, unigram
 
@@ -43,27 +45,79 @@ def held_out(key: str) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
+class Speller:
+    """Ids of words by their hash. Words met before are in a table of fixed size, of which a new word takes the place of
+    another; what it does not hold is encoded again. Different words with one 64-bit hash would be taken for one."""
+
+    BITS, ROOM = 20, 1 << 22
+
+    def __init__(self, vocabulary: str):
+        self.encoder = encoder(None, vocabulary)
+        self._clear(self.ROOM)
+
+    def _clear(self, room: int) -> None:
+        self._key = np.zeros(1 << self.BITS, dtype=np.uint64)
+        self._at, self._size = np.zeros((2, 1 << self.BITS), dtype=np.int32)
+        self._flat, self._used = np.zeros(room, dtype=np.int32), 0
+
+    def ids(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words ``data[start:end]``, each with one blank before it, and how many each has."""
+        slot = (hashes >> np.uint64(64 - self.BITS)).astype(np.int64)
+        at, size = self._at[slot], self._size[slot]
+        missed = np.flatnonzero((self._key[slot] != hashes) | (size == 0))
+        if len(missed):
+            new, first, which = np.unique(hashes[missed], return_index=True, return_inverse=True)
+            first = missed[first]
+            words = [(b" " + data[s:e].tobytes()).decode("utf-8", "replace") for s, e in zip(starts[first], ends[first])]
+            held, counts = self.encoder.encode(words)
+            if self._used + len(held) > len(self._flat):
+                # All words are forgotten. A word has no more ids than bytes.
+                self._clear(max(self.ROOM, int((ends - starts + 1).sum())))
+                return self.ids(data, starts, ends, hashes)
+            here = self._used + np.cumsum(counts) - counts
+            self._flat[self._used : self._used + len(held)] = held
+            self._used += len(held)
+            to = (new >> np.uint64(64 - self.BITS)).astype(np.int64)
+            self._key[to], self._at[to], self._size[to] = new, here, counts
+            at[missed], size[missed] = here[which], counts[which]
+        return self._flat[ragged(at, size)], size
+
+
+@lru_cache(maxsize=1)
+def speller(vocabulary: str) -> Speller:
+    """The process's table of words; kept between tasks."""
+    return Speller(vocabulary)
+
+
 def encode(texts, vocabulary: str) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
     """Slices of texts with the ids of their words and how many each text has."""
-    plain = [b"".join(b" " + w for w in t.split()).decode("utf-8", "replace") for t in lowered(texts)]
-    own = encoder(None, vocabulary)
-    for part in slices(plain):
-        ids, counts = own.encode(plain[part])
+    for part, ids, counts, _ in spelled(texts, vocabulary):
         yield part, ids, counts
 
 
+def spelled(texts, vocabulary: str) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """As ``encode``, with the number of words of each text."""
+    own, texts = speller(vocabulary), lowered(texts)
+    for part in by_bytes([len(t) for t in texts], SLICE):
+        data, at = scan.joined(texts[part])
+        starts, ends, hashes = scan.words(data)
+        ids, size = own.ids(data, starts, ends, hashes)
+        first = np.searchsorted(starts, at)
+        last = np.concatenate([[0], np.cumsum(size)])[first]
+        yield part, ids, np.diff(last), np.diff(first)
+
+
 def encoded(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """Rows with a text, with its ``ids`` (little-endian, two or four bytes each) and ``n_words`` in its place."""
     kind = _id_type(vocabulary)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            words = [len(t.split()) for t in lowered(frame["text"])]
-            for part, ids, counts in encode(frame["text"], vocabulary):
+            for part, ids, counts, words in spelled(frame["text"], vocabulary):
                 ends = np.cumsum(counts)
                 ids = ids.astype(kind)
                 held = [ids[e - n : e].tobytes() for e, n in zip(ends, counts)]
-                yield frame.iloc[part].drop(columns="text").assign(ids=held, n_words=words[part])
+                yield frame.iloc[part].drop(columns="text").assign(ids=held, n_words=words)
 
     kept = ", ".join(f"`{n}` {k}" for n, k in docs.dtypes if n != "text")
     return docs.mapInPandas(run, f"{kept}, ids binary, n_words long")
@@ -87,22 +141,32 @@ class Scorer:
 
     def __init__(self, model: Attention, words: Vocabulary, end: int, vocabulary: str):
         self.model, self.words, self.end, self.vocabulary = model, words, end, vocabulary
-        self.tables = model.tables()
+
+    @cached_property
+    def looked_up(self) -> tuple[np.ndarray, Front]:
+        """What scoring looks up; made where it is used, not sent."""
+        return self.model.tables(), self.model.front()
+
+    def windows(self, ids: np.ndarray, counts: np.ndarray, **steps: int) -> Windows:
+        """Windows of entries."""
+        return Windows.of(self.words.place[ids], counts, int(self.words.place[self.end]), **steps)
 
     def of_ids(self, rows) -> np.ndarray:
         """log10 probability of each row of stored ids."""
-        out = []
+        out, (tables, front) = [], self.looked_up
         for _, ids, counts in held_ids(rows, self.vocabulary):
-            w = Windows.of(ids, counts, self.end)
-            sums = np.zeros(-(-len(w.doc) // BATCH) * BATCH)
-            for at in range(0, len(w.doc), BATCH):
-                # The last batch is filled up: a product's rounding depends on its number of rows, and equal windows
-                # must score the same in every batch. For the same reason a text's windows are added up at once.
-                cut = np.minimum(np.arange(at, at + BATCH), len(w.doc) - 1)
-                inputs, targets = self.words.place[w.inputs[cut]], w.targets[cut]
-                logs = self.model.logs(inputs, self.words.place[targets], self.tables) + self.words.share[targets]
-                sums[at : at + BATCH] = (logs * w.scored[cut]).sum(axis=1)
-            out.append(np.bincount(w.doc, weights=sums[: len(w.doc)], minlength=len(counts)))
+            w = self.windows(ids, counts)
+            sums = np.zeros(len(w.doc))
+            # A text's first window scores all its targets, each later one those that are new.
+            for since, own in ((0, np.flatnonzero(w.scored[:, 0])), (WINDOW - STRIDE, np.flatnonzero(~w.scored[:, 0]))):
+                for at in range(0, len(own), BATCH):
+                    # The last batch is filled up: a product's rounding depends on its number of rows, and equal windows
+                    # must score the same in every batch. For the same reason a text's windows are added up at once.
+                    cut = own[np.minimum(np.arange(at, at + BATCH), len(own) - 1)]
+                    logs = self.model.logs(w.inputs[cut], w.targets[cut, since:], tables, front, since)
+                    sums[cut] = (logs * w.scored[cut, since:]).sum(axis=1, dtype=float)
+            shares = np.bincount(np.repeat(np.arange(len(counts)), counts), self.words.share[ids], len(counts))
+            out.append(np.bincount(w.doc, sums, len(counts)) + shares + self.words.share[self.end])
         return np.concatenate(out) if out else np.zeros(0)
 
     def scores(self, texts) -> np.ndarray:
@@ -175,12 +239,12 @@ def trained(texts: DataFrame, scorer: Scorer, pace: float, mix: float, turn: int
         steps = Steps(model, pace, mix)
         for frame in frames:
             for _, ids, counts in held_ids(frame["ids"], own.vocabulary):
-                w = Windows.of(ids, counts, own.end, stride=WINDOW)
+                w = own.windows(ids, counts, stride=WINDOW)
                 order = random.permutation(len(w.doc))
                 seen += len(order)
                 for at in range(0, len(order), STEP):
                     rows = order[at : at + STEP]
-                    steps.take(own.words.place[w.inputs[rows]], own.words.place[w.targets[rows]], w.scored[rows])
+                    steps.take(w.inputs[rows], w.targets[rows], w.scored[rows])
         if seen:
             steps.settle()
             found = [*(model.theta[k].ravel() for k in model.theta), steps.duty.ravel() / seen]

@@ -345,6 +345,55 @@ def test_equal_texts_score_the_same_in_every_batch(monkeypatch):
     assert len(sizes) == 1
 
 
+def test_scoring_weighs_each_target_once(monkeypatch):
+    """Positions that a window only looks back at get no mixture weights, and the scores are those of whole windows."""
+    import public_tokenizers
+
+    from ledgerline.llm.bytepair import merges
+
+    r = np.random.default_rng(6)
+    end = merges(public_tokenizers.path(lm_score.VOCABULARY)).size
+    count = np.append(r.integers(0, 9, end), 50).astype(float)
+    words = Vocabulary.of(count, 60)
+    entry = np.bincount(words.place, weights=count + 0.1)
+    scorer = lm_score.Scorer(Attention.new(entry / entry.sum()), words, end, lm_score.VOCABULARY)
+    texts = [r.integers(0, end, 32 + 3 * 26 - 1) for _ in range(lm_score.BATCH)]
+    weighed, logs = [], Attention.logs
+    monkeypatch.setattr(Attention, "logs", lambda self, x, y, *rest: weighed.append(y.size) or logs(self, x, y, *rest))
+    got = scorer.of_ids([t.astype("<u2").tobytes() for t in texts])
+    assert sum(weighed) == sum(len(t) + 1 for t in texts)
+    w = Windows.of(np.concatenate(texts), np.array([len(t) for t in texts]), end)
+    places, goals = words.place[w.inputs], words.place[w.targets]
+    whole = logs(scorer.model, places, goals, scorer.model.tables()) + words.share[w.targets]
+    assert np.allclose(got, np.bincount(w.doc, (whole * w.scored).sum(axis=1)), rtol=1e-5)
+
+
+def test_steep_mixture_weights():
+    """Weights whose logarithms no exponential of the short numbers holds."""
+    model = Attention.new(np.full(40, 1 / 40))
+    x = np.random.default_rng(3).integers(0, 40, (4, 32))
+    model.theta["M"] = model.theta["M"] * np.float32(400)
+    got = model.forward(x)
+    z = got["u"].astype(float) @ model.theta["M"] + model.theta["m"]
+    want = np.exp(z - z.max(axis=1, keepdims=True))
+    assert z.max() > 100 and np.allclose(got["pi"].reshape(z.shape), want / want.sum(axis=1, keepdims=True), atol=1e-4)
+
+
+def test_speller_forgets_words_and_encodes_them_again(monkeypatch):
+    """A table of few words and little room gives the ids that whole texts have."""
+    monkeypatch.setattr(lm_score.Speller, "BITS", 3)
+    monkeypatch.setattr(lm_score.Speller, "ROOM", 40)
+    lm_score.speller.cache_clear()
+    texts = [f"{sentence(i, 9)} Don't\tstop-{i % 5}  \u00c9t\u00e9 \u4f60\u597d!? " for i in range(40)] + ["", None, "x" * 200]
+    plain = [b"".join(b" " + w for w in t.split()).decode() for t in lm_score.lowered(texts)]
+    want, counts = bpe_codec.encoder(None, lm_score.VOCABULARY).encode(plain)
+    for given in (texts, texts):
+        parts = list(lm_score.encode(given, lm_score.VOCABULARY))
+        assert np.concatenate([ids for _, ids, _ in parts]).tolist() == want.tolist()
+        assert np.concatenate([n for _, _, n in parts]).tolist() == counts.tolist()
+    lm_score.speller.cache_clear()
+
+
 def test_shares_stay_normal_numbers():
     """A word that no longer occurs keeps a share that arithmetic is fast on."""
     steps = Steps(Attention.new(np.full(40, 1 / 40)), 0.02, 0.5)
