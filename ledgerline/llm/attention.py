@@ -225,9 +225,8 @@ class Attention:
 
     def tables(self) -> np.ndarray:
         """The unigram distributions as [entries, MIXTURE]; what one has not seen it takes from the mean of all."""
-        near = self.share + self.share.dtype.type(FAITH / MIXTURE) * across(self.share)
-        near += 1e-12
-        near *= 1 / near.sum(axis=0)
+        near = self.share + (across(self.share) * self.share.dtype.type(FAITH / MIXTURE) + self.share.dtype.type(1e-12))
+        near *= 1 / down(near)
         return near.astype(np.float32, copy=False)
 
     def slopes(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, tables: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
@@ -258,9 +257,10 @@ class Attention:
         # From here on times n.
         dz = np.multiply(e, on / total, out=e)
         dz -= duty
-        dpre = np.zeros((len(dz) + 1, HIDDEN), dtype=dz.dtype)
-        np.matmul(dz, t["M"].T, out=dpre[:-1])
-        dpre[:-1] *= u > 0
+        d = np.empty((len(flat) + 1, DEEP + HIDDEN), dtype=dz.dtype)
+        d[-1] = 0
+        parts, dpre = d[:-1].reshape(*shape, -1), d[:, DEEP:]
+        np.multiply(dz @ t["M"].T, u > 0, out=dpre[:-1])
         dmix = dpre[:-1] @ front.deep.T
         dmix *= w["part"]
         # What the attention of a position gets on average follows from what it mixed.
@@ -268,16 +268,15 @@ class Attention:
         dmix = dmix.reshape(*shape, WIDTH + 2)
         ds = dmix @ f[:, :, 2 * WIDTH : DEEP].transpose(0, 2, 1)
         ds *= a
-        d = np.empty((*shape, DEEP + HIDDEN), dtype=ds.dtype)
-        np.matmul(ds, f[:, :, WIDTH : 2 * WIDTH], out=d[:, :, :WIDTH])
-        np.matmul(ds.transpose(0, 2, 1), f[:, :, :WIDTH], out=d[:, :, WIDTH : 2 * WIDTH])
-        np.matmul(a.transpose(0, 2, 1), dmix, out=d[:, :, 2 * WIDTH : DEEP])
-        d[:, :, DEEP:] = dpre[:-1].reshape(*shape, HIDDEN)
-        place = down(d.reshape(shape[0], -1)).reshape(shape[1], -1)
-        d = d.reshape(len(flat), -1)
+        np.matmul(ds, f[:, :, WIDTH : 2 * WIDTH], out=parts[:, :, :WIDTH])
+        np.matmul(ds.transpose(0, 2, 1), f[:, :, :WIDTH], out=parts[:, :, WIDTH : 2 * WIDTH])
+        np.matmul(a.transpose(0, 2, 1), dmix, out=parts[:, :, 2 * WIDTH : DEEP])
+        place = down(parts.reshape(shape[0], -1)).reshape(shape[1], -1)
         own = added(d, order, first)
-        after = np.where(order % shape[1] == shape[1] - 1, len(flat), order + 1)
-        before = added(dpre, after, first)
+        # The position after each; none has a row of zeros.
+        after = np.append(np.arange(1, len(flat)), 0)
+        after[shape[1] - 1 :: shape[1]] = len(flat)
+        before = added(dpre, after[order], first)
         for x in (own, place):
             x[:, ONE] = 0
         joint = front.w[:, :WIDTH].T @ own + t["P"].T @ place
