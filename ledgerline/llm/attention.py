@@ -27,9 +27,9 @@ ONE = DEEP - 2
 BATCH, STEP = 64, 128
 #: Steps after which the distributions move, and the part of the mean of all in each of them.
 EVERY, FAITH = 2, 0.02
-#: Bound of what goes into an exponential. Numbers too small for normal floats would make the products very slow;
+#: Bounds of what goes into an exponential. Numbers too small for normal floats would make the products very slow;
 #: for the same reason ``DUST`` keeps the moments of gradients that stay zero away from them.
-STEEP, DUST = 30, np.float32(1e-15)
+STEEP, HIGH, DUST = 30, 45, np.float32(1e-15)
 #: The same for shares of entries that do not occur for long; far below what ``tables`` adds.
 SPECK = np.float32(1e-25)
 
@@ -214,11 +214,11 @@ class Attention:
         np.maximum(u, 0, out=u)
         e = u @ front.mixture
         e += front.bias
-        # The largest of a position's is not below their mean, 0. Where it is too steep for an exponential, all are taken
-        # relative to it, row by row.
-        if e.max() > STEEP + STEEP / 2:
-            far = np.flatnonzero(across((e > STEEP + STEEP / 2).astype(e.dtype)))
-            e[far] -= e[far].max(axis=1, keepdims=True)
+        # The largest of a position is not below their mean, 0. One too steep for an exponential is brought down with the
+        # others; a position without one stays as it is, whatever the batch. Turned round, as the largest of many short
+        # rows is slow to find.
+        if e.max() > HIGH:
+            e -= np.maximum(np.ascontiguousarray(e.T).max(axis=0) - HIGH, 0)[:, None]
         np.maximum(e, -STEEP, out=e)
         np.exp(e, out=e)
         return {"f": f, "a": a, "mixed": mixed, "part": part, "u": u, "e": e}
