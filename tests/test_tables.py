@@ -12,6 +12,7 @@ from ledgerline.functions import columns as C
 from ledgerline.operators import layout
 from ledgerline.operators import tables as T
 from ledgerline.operators.dedup import one_per_key
+from ledgerline.plans import QUERIES
 from ledgerline.plans import rows as rows_of
 from ledgerline.schemas import TRANSACTIONS
 from ledgerline.sources.csv import CsvDataset, ingest
@@ -319,3 +320,16 @@ def test_derived_columns_do_not_order(spark):
     assert one_per_key(df, ["id"], derived=["lat", "lon"]).collect() == one_per_key(df, ["id"]).collect()
     few = rows_of.silver_frame(spark, SF_DIR, TRANSACTIONS).select("transaction_id", "timestamp")
     assert "regexp_extract" not in few._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_upserted_payments_are_corrected_on_all_dates_and_none_is_left_out(spark, folder):
+    path, early, late = folder("sf"), "1996-03-04", "2001-05-06"
+    rows = [(1, 10, 3, 1, 25000.0, "R", early), (2, 10, 3, 1, 25000.0, "R", late), (3, 10, 3, 1, 25000.0, "A", early)]
+    rows += [(4, 10, 3, 1, 25000.0, "A", None), (5, 10, 3, 1, 25000.0, "A", late)]
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_returnflag string, d string"
+    lines = spark.createDataFrame(rows, columns).withColumn("l_shipdate", F.col("d").cast("timestamp")).drop("d")
+    lines.write.parquet(f"{path}/lineitem.parquet")
+    got = QUERIES["silver_upsert_transactions"].run(spark, path)
+    amounts = {r.transaction_id: r.amount for r in got.collect()}
+    # The corrections of 1 and 2 have another amount; 4 has no date.
+    assert amounts == {"T1-1": 5001.0, "T2-1": 5000.0, "T3-1": 5000.0, "T4-1": 5000.0, "T5-1": 5000.0}
