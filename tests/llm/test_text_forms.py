@@ -217,6 +217,25 @@ def test_a_rewriting_template_is_told(spark):
     assert got[1].rewritten_at == 1 and got[1].text == "[assistant][/][assistant]b[/]" and got[2].rewritten_at is None
 
 
+def numbering(turns):
+    """A template that looks back: it numbers the turns, names the first one's role in each, and shortens what was said
+    before the hundredth."""
+    cut = len(turns) > 100
+    return "".join(f"[{i} {turns[0][0]} {r}]{'' if cut and i == 3 else t}[/]" for i, (r, t) in enumerate(turns))
+
+
+def test_long_conversations_are_rendered_whole(spark):
+    turns = [(["system", "user", "assistant"][min(t, 1 + t % 2)], f"turn {t}") for t in range(230)]
+    some = [(c, t, r, s) for c, n in ((1, 230), (2, 90), (3, 2), (None, 130), (4, 64), (5, 65)) for t, (r, s) in enumerate(turns[:n])]
+    df = spark.createDataFrame(some, "conv_id long, turn long, role string, text string").repartition(7)
+    got = {r.conv_id: r for r in chat_format.formatted(df, numbering).collect()}
+    assert len(got) == 6
+    for conv, n in ((1, 230), (2, 90), (3, 2), (None, 130), (4, 64), (5, 65)):
+        text, spans, changed = chat_format.located(numbering, turns[:n])
+        assert got[conv].text == text == numbering(turns[:n]) and got[conv].rewritten_at == changed == (100 if n > 100 else None)
+        assert [tuple(s) for s in got[conv].spans] == [tuple(s) for s in spans]
+
+
 # --- fill in the middle ---
 
 
