@@ -6,10 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators.tables import append_change, read_merged
+from ledgerline.plans import QUERIES, fixtures
 from ledgerline.schemas import AUTH_LOGS, TRANSACTIONS
-from ledgerline.session import streaming_session
+from ledgerline.session import CLEANED, streaming_session
 from ledgerline.sources.streams import change_log
 from ledgerline.streaming import followups, jobs, running
+from tests.conftest import SF_DIR
+from tests.oracle import compare, duck
 
 NOON = dt.datetime(2024, 1, 1, 12)
 
@@ -156,3 +159,43 @@ def test_followed_logins_once_each(spark, folder, salts):
 def test_no_salts_is_an_error(spark):
     with pytest.raises(ValueError):
         followups.followed_logins(logins(spark, []), payments(spark, []), 30, salts=0)
+
+
+def test_slices_hold_all_rows_in_order_and_little_at_once(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "SLICE_ROWS", 40)
+    monkeypatch.setattr(fixtures, "STATE_ROWS", 10)
+    rows = payments(spark, [(f"T{i}", 1, 7 * i, 1.0) for i in range(500)] + [("T-", 1, None, 1.0)])
+    others = logins(spark, [(f"E{i}", 1, 60 * i, 1, "d") for i in range(50)])
+    step = F.coalesce((F.col("timestamp") >= F.lit(at(1500))).cast("int"), F.lit(0))
+    before = spark.conf.get(CLEANED)
+    partitions, batches = fixtures.in_slices(spark, {"p": rows, "a": others}, step, 4, 4)
+    assert spark.conf.get(CLEANED) == before
+    # 59 hours of about ten rows: three or four slices in the state, however many there are; 55 for all rows.
+    assert 4 <= partitions <= 16
+    held, newest = {"p": [], "a": []}, None
+    for number, batch in batches:
+        got = {name: df.collect() for name, df in batch.items()}
+        assert number < 5 or sum(map(len, got.values())) <= 40
+        times = [r.timestamp for part in got.values() for r in part if r.timestamp]
+        assert newest is None or min(times) > newest
+        newest = max(times)
+        for name, part in got.items():
+            held[name] += part
+    assert number > 10 and sorted(map(str, held["p"])) == sorted(map(str, rows.collect()))
+    assert sorted(map(str, held["a"])) == sorted(map(str, others.collect()))
+
+
+def test_slices_of_an_empty_table(spark):
+    _, batches = fixtures.in_slices(spark, {"p": payments(spark, [])}, F.lit(0), 4, 4)
+    assert [(n, b["p"].count()) for n, b in batches] == [(0, 0)]
+
+
+@pytest.mark.parametrize("name, most", [("stream_followed_logins", 800), ("stream_login_payments", 800), ("bi_running_hours", 1200)])
+def test_streams_in_slices_agree_with_sql(spark, monkeypatch, name, most):
+    monkeypatch.setattr(fixtures, "SLICE_ROWS", most)
+    assert compare(spark, duck(SF_DIR), name, QUERIES[name], SF_DIR) is None
+
+
+def test_a_job_that_spares_disk_drops_what_it_shuffled(spark):
+    assert streaming_session(spark).conf.get(CLEANED) == spark.conf.get(CLEANED) == "false"
+    assert streaming_session(spark, spare_disk=True).conf.get(CLEANED) == "true"
