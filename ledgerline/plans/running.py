@@ -76,12 +76,13 @@ _ORDER = r"CAST(regexp_extract(transaction_id, 'T([0-9]+)-', 1) AS BIGINT)"
 def bi_running_hours(spark, sf_dir):
     """The table of totals after late payments have revised hours that had been written, and how often each was."""
     changes, path, log, checkpoint = (fresh_dir(spark, n) for n in ("changes", "hours", "revisions", "checkpoint"))
-    batches = fixtures.steps_of(spark, silver_frame(spark, sf_dir, TRANSACTIONS), F.expr(_step("timestamp", _ORDER)))
-    numbers = range(len(PAYMENT_CUTS) + 1)
-    partitions = fixtures.state_partitions(*map(batches, numbers), least=STATE_PARTITIONS)
-    for number in numbers:
-        append_change(batches(number), changes, number, "fixture")
-        silver = change_log(streaming_session(spark, partitions), TRANSACTIONS.silver, changes)
+    sides, step = {TRANSACTIONS.topic: silver_frame(spark, sf_dir, TRANSACTIONS)}, F.expr(_step("timestamp", _ORDER))
+    # An hour of a step is one slice's, so a step revises it once however many slices it has.
+    partitions, batches = fixtures.in_slices(spark, sides, step, 24 * (_LATE_DAYS + 1) + 1, STATE_PARTITIONS)
+    for number, rows in batches:
+        append_change(rows[TRANSACTIONS.topic], changes, number, "fixture")
+        session = streaming_session(spark, partitions, count_state=False, spare_disk=True)
+        silver = change_log(session, TRANSACTIONS.silver, changes)
         jobs.drained(running.run_hour_totals, silver, path, log, checkpoint, watermark=f"{_LATE_DAYS + 1} days")
     table = read_merged(spark, path).withColumn("month", F.date_format("hour", "yyyy-MM"))
     return table.join(running.revisions(spark, log), list(running.HOUR_KEYS)).drop("month")
